@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+import corpus_pipeline
+
+from . import decontaminate, mixing, neardup, pii, quality, urlfilter
 
 
 def queries() -> dict:
-    return {"op1_decontaminate": decontaminate.op1_decontaminate}
+    return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_mixing": mixing.op2_mixing,
+        "op6_neardup": neardup.op6_neardup,
+        "op7_urlfilter": urlfilter.op7_urlfilter,
+        "op8_pii": pii.op8_pii,
+        "op9_quality": quality.op9_quality,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op1_decontaminate": decontaminate.SQL}
+    return {
+        "op1_decontaminate": decontaminate.SQL,
+        "op2_mixing": mixing.SQL,
+        "op6_neardup": neardup.SQL,
+        "op7_urlfilter": urlfilter.SQL,
+        "op9_quality": quality.SQL,
+    }

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, mixing, neardup, pii, quality, urlfilter
+from . import decontaminate, mixing, neardup, pii, quality, urlfilter, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_mixing": mixing.op2_mixing,
+        "op5_warc": warc.op5_warc,
         "op6_neardup": neardup.op6_neardup,
         "op7_urlfilter": urlfilter.op7_urlfilter,
         "op8_pii": pii.op8_pii,
@@ -23,6 +24,7 @@ def oracle_sql() -> dict:
     return {
         "op1_decontaminate": decontaminate.SQL,
         "op2_mixing": mixing.SQL,
+        "op5_warc": warc.SQL,
         "op6_neardup": neardup.SQL,
         "op7_urlfilter": urlfilter.SQL,
         "op9_quality": quality.SQL,

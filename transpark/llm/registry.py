@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, mixing, neardup, pii, quality, urlfilter, warc
+from . import decontaminate, htmltext, mixing, neardup, pii, quality, urlfilter, warc
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op7_urlfilter": urlfilter.op7_urlfilter,
         "op8_pii": pii.op8_pii,
         "op9_quality": quality.op9_quality,
+        "op10_htmltext": htmltext.op10_htmltext,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, mixing, neardup, pii, quality, urlfilter, warc
+from . import decontaminate, htmltext, lmscore, mixing, neardup, pii, quality, urlfilter, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_mixing": mixing.op2_mixing,
+        "op3_lmscore": lmscore.op3_lmscore,
         "op5_warc": warc.op5_warc,
         "op6_neardup": neardup.op6_neardup,
         "op7_urlfilter": urlfilter.op7_urlfilter,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, lmscore, mixing, neardup, pii, quality, urlfilter, warc
+from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, urlfilter, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_mixing": mixing.op2_mixing,
         "op3_lmscore": lmscore.op3_lmscore,
+        "op4_langid": langid.op4_langid,
         "op5_warc": warc.op5_warc,
         "op6_neardup": neardup.op6_neardup,
         "op7_urlfilter": urlfilter.op7_urlfilter,

@@ -5,8 +5,11 @@ a signature of 180 values costs 90 hash evaluations a shingle. Bands of 5 values
 similarity 0.8 into a common bucket with probability 1 - (1 - 0.8^5)^36 > 0.999999. Documents of
 one shingle set are one node from the start. In a bucket, the member that shares most buckets
 leads: it is tried against the members of other components and then retires; members that are
-already connected are not tried. After two such turns what is left of a bucket is tried pairwise,
-across components and within the size ratio only. Every link is confirmed on full sets.
+already connected are not tried. Large groups keep members that are almost, but not quite, similar to
+many others; trying these in pairs would grow with the square of the group. So after two turns the
+members of buckets that still hold several components are joined on prefixes: with the shingles of
+each set ordered from rare to frequent, two similar sets share one so early that enough can follow
+it, and what sets an edited copy apart is rare. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, hash_words, mix64, ship_by_value, small_or_not, word_lists
@@ -91,12 +94,13 @@ def _signatures(k: int):
     return kernel
 
 
-def _full_sets(k: int):
+def _full_sets(k: int, listed: bool = False):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 sets = [s for s in shingle_sets(batch.column(0).slice(at, SLICE).to_pylist(), k) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([_as_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
+                members = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())) if listed else pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([_as_node(s) for s in sets], pa.int64()), members], names=["node", "members"])
 
     return kernel
 
@@ -118,18 +122,39 @@ def _confirm(percent: int):
     return kernel
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar; first: a row id for each node, texts: (row id, text)."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _sets_of(wanted: DataFrame, texts: DataFrame, first: DataFrame, k: int, listed: bool = False) -> DataFrame:
+    """(node, members) of wanted nodes; first: a row id for each node, texts: (row id, text)."""
     ids = cut(first.join(wanted, "node", "left_semi").select(F.col("first_id").alias("w_id")).distinct())
     rows = texts.join(small_or_not(ids), F.col("t_id").eqNullSafe(F.col("w_id")), "left_semi").select("t_text")
-    sets = rows.mapInArrow(_full_sets(k), "node long, members binary").join(wanted, "node", "left_semi")
-    sets = cut(sets.dropDuplicates(["node"]))
+    sets = rows.mapInArrow(_full_sets(k, listed), f"node long, members {'array<long>' if listed else 'binary'}")
+    return cut(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets are similar."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(wanted, texts, first, k)
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("a_set")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("b_set")), "b")
     return cut(both.select("a", "b", "a_set", "b_set").mapInArrow(_confirm(percent), "a long, b long"))
 
 
+def _prefix_pairs(rest: DataFrame, texts: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of other components that can be similar, by their prefixes: exact.
+
+    rest: (node, n, label). A pair with i and j rarer shingles before a common one shares at most
+    min(n - i, n' - j); its first common one must leave enough for the threshold.
+    """
+    sets = _sets_of(rest.select("node"), texts, first, k, listed=True)
+    words = sets.join(rest, "node").select("node", "n", "label", F.explode("members").alias("s"))
+    often = words.groupBy("s").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"))
+    placed = words.join(often, "s").withColumn("i", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")) - 1)
+    early = cut(placed.where((F.col("n") - F.col("i")) * 100 >= F.col("n") * percent).where("low <> high").select("s", "node", "n", "label", "i"))
+    other = early.select("s", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label", "i")])
+    can = F.least(F.col("n") - F.col("i"), F.col("o_n") - F.col("o_i")) * (100 + percent) >= (F.col("n") + F.col("o_n")) * percent
+    return early.join(other, "s").where((F.col("node") < F.col("o_node")) & (F.col("label") != F.col("o_label")) & can).select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The near-duplicate group of every row: doc_id, n_shingles, component_id, kept.
 
@@ -166,9 +191,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             active = led.drop("l_node", "l_n", "l_label")
         else:
             rest = active.join(open_bands.select("band"), "band", "left_semi")
-            other = rest.select("band", F.col("node").alias("l_node"), F.col("n").alias("l_n"), F.col("label").alias("l_label"))
-            pairs = rest.join(other, "band").where((F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label")) & near_size & (F.col("l_n") * 100 >= F.col("n") * percent))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("l_node").alias("b"))
+            rest = cut(rest.select("node", "n", "label").distinct())
+            if rest.isEmpty():
+                break
+            pairs = _prefix_pairs(rest, texts, first, k, percent)
         pairs = cut(pairs.distinct())
         if pairs.isEmpty():
             if turn < TURNS:

@@ -339,7 +339,7 @@ def supplementary_parts(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.explode(S.supplementary(sa)).alias("p")).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "p.*")
 
 
-@query("id_parsing", f"""WITH c AS ({duck(CANDIDATES)}) SELECT o_orderkey, length::INT AS len, components AS comp, greatest(o_custkey_mod, CASE WHEN m3 = 0 THEN abs(100 + b - a) ELSE 0 END)::INT AS max_is, 'CT' || lpad(o_orderkey::VARCHAR, greatest(3, length(o_orderkey::VARCHAR)), '0') AS tag
+@query("id_parsing", f"""WITH c AS ({duck(CANDIDATES)}) SELECT o_orderkey, length::INT AS len, components AS comp, greatest(o_custkey_mod, CASE WHEN m3 = 0 THEN abs(100 + b - a) ELSE 0 END)::INT AS max_is, 'CT' || lpad(o_orderkey::VARCHAR, greatest(3, length(o_orderkey::VARCHAR))::INT, '0') AS tag
 FROM (SELECT c.*, o_custkey % 800 AS o_custkey_mod, o_custkey % 3 AS m3, o_custkey % 500 AS a, o_custkey % 700 AS b FROM c JOIN orders USING (o_orderkey))""")
 def id_parsing(spark, sf):
     return view(spark, sf, CANDIDATES).select("o_orderkey", S.id_length(F.col("name")).alias("len"), S.id_components(F.col("name")).alias("comp"), S.max_range_length(F.col("is_spans")).alias("max_is"), S.candidate_tag(F.col("o_orderkey")).alias("tag"))
@@ -416,9 +416,9 @@ def path_sequence(spark, sf):
     return G.in_size(out, 20, 100, 1, 25).select("graph_id", F.col("path_id").alias("path"), "sequence", "components")
 
 
-@query("path_overlap_pairs", CYCLES_SQL + f""", {NODES_SQL}, x AS (SELECT graph_id, path, array_to_string(path, ',') AS id FROM y), p AS (SELECT graph_id, id, unnest(path) AS node FROM x), l AS (SELECT p.*, regexp_replace(p.node, '[+-]$', '') AS contig, length(seq) AS n FROM p JOIN ns USING (graph_id, node)),
-t AS (SELECT graph_id, id, sum(n) AS total, list_sort(list(DISTINCT contig)) AS contigs FROM l GROUP BY ALL),
-m AS (SELECT a.graph_id, a.id AS later, b.id AS earlier, sum(CASE WHEN a.node = b.node THEN a.n ELSE 0 END) AS shared FROM l a JOIN l b ON a.graph_id = b.graph_id AND a.contig = b.contig AND b.id < a.id GROUP BY ALL)
+@query("path_overlap_pairs", CYCLES_SQL + f""", {NODES_SQL}, x AS (SELECT graph_id, path, array_to_string(path, ',') AS id FROM y), p AS (SELECT graph_id, id, unnest(path) AS node FROM x), pl AS (SELECT p.*, regexp_replace(p.node, '[+-]$', '') AS contig, length(seq) AS n FROM p JOIN ns USING (graph_id, node)),
+t AS (SELECT graph_id, id, sum(n) AS total, list_sort(list(DISTINCT contig)) AS contigs FROM pl GROUP BY ALL),
+m AS (SELECT a.graph_id, a.id AS later, b.id AS earlier, sum(CASE WHEN a.node = b.node THEN a.n ELSE 0 END) AS shared FROM pl a JOIN pl b ON a.graph_id = b.graph_id AND a.contig = b.contig AND b.id < a.id GROUP BY ALL)
 SELECT m.graph_id, later, earlier, round(shared * 100.0 / greatest(a.total, b.total), 6) AS percent, a.contigs = b.contigs AS same_contigs FROM m JOIN t a ON a.graph_id = m.graph_id AND a.id = later JOIN t b ON b.graph_id = m.graph_id AND b.id = earlier""")
 def path_overlap_pairs(spark, sf):
     paths = G.simple_cycles(_edges(spark, sf), ["graph_id"], 5).withColumn("path_id", F.array_join("path", ","))
@@ -466,7 +466,7 @@ def components(spark, sf):
 
 
 @query("cluster_tags", COMP_SQL + """, s AS (SELECT component, count(*) AS size FROM c GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY size DESC, component) AS nth FROM s)
-SELECT node, CASE WHEN size = 1 THEN 'Unique' ELSE 'CTCluster' || lpad(nth::VARCHAR, greatest(3, length(nth::VARCHAR)), '0') END AS cluster, size FROM c JOIN n USING (component)""")
+SELECT node, CASE WHEN size = 1 THEN 'Unique' ELSE 'CTCluster' || lpad(nth::VARCHAR, greatest(3, length(nth::VARCHAR))::INT, '0') END AS cluster, size FROM c JOIN n USING (component)""")
 def cluster_tags(spark, sf):
     return C.cluster_tags(components(spark, sf))
 
@@ -495,8 +495,8 @@ def class_inference(spark, sf):
     return view(spark, sf, GENES).withColumn("class", E.resistance_class(F.col("gene")))
 
 
-@query("class_expansion", f"""WITH c AS ({duck(CANDIDATES)}), x AS (SELECT o_orderkey, unnest(string_split(genes, ';')) AS gene, generate_subscripts(string_split(genes, ';'), 1) AS at FROM c WHERE genes <> ''),
-k AS (SELECT *, (SELECT CASE {_class} ELSE 'Other' END FROM (SELECT trim(x.gene) AS g)) AS class FROM x), r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, class ORDER BY at) AS rn FROM k)
+@query("class_expansion", f"""WITH c AS ({duck(CANDIDATES)}), x AS (SELECT o_orderkey, unnest(string_split(genes, ';')) AS gene, generate_subscripts(string_split(genes, ';'), 1) AS pos FROM c WHERE genes <> ''),
+k AS (SELECT *, (SELECT CASE {_class} ELSE 'Other' END FROM (SELECT trim(x.gene) AS g)) AS class FROM x), r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, class ORDER BY pos) AS rn FROM k)
 SELECT o_orderkey, trim(gene) AS gene, class FROM r WHERE rn = 1 UNION ALL SELECT o_orderkey, 'None', 'None' FROM c WHERE genes = ''""")
 def class_expansion(spark, sf):
     return E.expand_classes(view(spark, sf, CANDIDATES), "o_orderkey", "genes").select("o_orderkey", "gene", "class")
@@ -535,7 +535,7 @@ def keyword_counts(spark, sf):
     return E.keyword_counts(table(spark, sf, "documents"), "text", list(ENZYMATIC + XENO + EXCLUDED))
 
 
-@query("candidate_tags", "SELECT o_orderkey, 'CT' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR)), '0') AS ct_tag FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS n FROM orders)")
+@query("candidate_tags", "SELECT o_orderkey, 'CT' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') AS ct_tag FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS n FROM orders)")
 def candidate_tags(spark, sf):
     return E.tag_candidates(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"]).select("o_orderkey", "ct_tag")
 

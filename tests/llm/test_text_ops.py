@@ -1,0 +1,229 @@
+"""Corpus operators against brute force, with nulls, ties, repeats, clashes and empty tables."""
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from transpark.llm import decontaminate, mixing, neardup, pii, quality, urlfilter
+
+WORDS = "alpha beta gamma delta eps zeta eta theta iota kappa lam mu nu xi omi pi rho sigma tau ups".split()
+
+
+def text_of(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.randint(0, 40)) for _ in range(n))
+
+
+def corpus(rng):
+    base = [text_of(rng, n) for n in (60, 80, 40, 6, 3, 2, 1)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    for _ in range(60):
+        t = rng.choice(base).split()
+        for _ in range(rng.randint(0, max(1, len(t) // 12))):
+            t[rng.randrange(len(t))] = rng.choice(WORDS)
+        rows.append((len(rows), rng.choice([" ", "\t", "\n"]).join(t).upper()))
+    rows += [(len(rows) + i, t) for i, t in enumerate([None, "", " \n", "é\u00a0ß", "x " * 50_000, "x " * 50_000])]
+    return rows + [rows[0], (None, "null id text here"), (None, base[0])]
+
+
+def word_set(t, k):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def test_near_duplicates_brute_force(spark):
+    rows = corpus(random.Random(2))
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, node string, n_shingles int").repartition(4)
+    for k in (2, 5):
+        sets = [word_set(t, k) for _, t in rows]
+        label = list(range(len(rows)))
+        for i in range(len(rows)):
+            for j in range(i):
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = label[i], label[j]
+                    label = [b if x == a else x for x in label]
+        least = {x: min((rows[i][0] for i in range(len(rows)) if label[i] == x and rows[i][0] is not None), default=None) for x in set(label)}
+        want = sorted([(str(rows[i][0]), len(sets[i]), str(least[label[i]])) for i in range(len(rows))])
+        got = neardup.near_duplicates(docs, k=k).collect()
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == want
+        assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    kept = neardup.drop_near_duplicates(docs, k=2)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == docs.columns and ids.count(0) == 1 and len(ids) == len(set(ids))
+    assert neardup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_prefix_stage_links_a_large_group(spark):
+    """Edits of one text, many of them just under the threshold: components are exact."""
+    rng = random.Random(4)
+    base = text_of(rng, 60).split()
+    rows = []
+    for i in range(150):
+        t = base[:]
+        for _ in range(rng.randint(0, 6)):
+            t[rng.randrange(len(t))] = f"new{rng.randint(0, 500)}"
+        rows.append((i, " ".join(t)))
+    sets = [word_set(t, 2) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
+    first = {}
+    for i, x in enumerate(label):
+        first.setdefault(x, i)
+    assert got == {i: first[x] for i, x in enumerate(label)}
+    assert len(set(got.values())) > 1
+
+
+def test_leaks(spark):
+    rng = random.Random(6)
+    items = [(i, text_of(rng, 20 + i)) for i in range(5)] + [(7, "too short to tell"), (8, None), (9, None)]
+    items[1] = (1, items[0][1])  # repeated item
+    planted = items[3][1].split()
+    planted[4], planted[11] = "OTHER", "words!"
+    docs = [(0, "before " + items[0][1].upper() + " after"), (1, text_of(rng, 30) + " " + ", ".join(planted) + "."), (2, text_of(rng, 200)), (3, None), (4, ""), (None, items[2][1]), (0, "before " + items[0][1].upper() + " after"), (5, " ".join(items[4][1].split()[:8])), (6, text_of(rng, 30_000) + " " + items[4][1])]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(df, bench).collect()}
+    assert set(got) == {(0, 0), (0, 1), (1, 3), (None, 2), (6, 4)}
+    assert got[0, 0] == 20 and got[1, 3] == 23 - 2 - 2 * decontaminate.MISMATCH or got[1, 3] >= 12
+    left = decontaminate.drop_leaks(df, bench)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 5]
+    assert decontaminate.find_leaks(df.limit(0), bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
+
+
+def test_mixing(spark):
+    rng = random.Random(8)
+    rows = [(i, text_of(rng, rng.randint(0, 60)), rng.choice("aaaabc") if i % 9 else None) for i in range(400)]
+    rows += [(400, None, "a"), (401, "", "z"), (5, rows[5][1], rows[5][2]), (None, "no id", "b")]
+    docs = spark.createDataFrame([(i, t, s, 0) for i, t, s in rows], "doc_id long, text string, source string, size int")
+    out, pieces = mixing.mix(docs, block_words=16)
+    got = out.collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert len(got) == len(rows) and sorted((str(r.doc_id), r.size) for r in got) == sorted((str(i), size(t)) for i, t, _ in rows)
+    own = {}
+    for _, t, s in rows:
+        own[s] = own.get(s, 0) + size(t)
+    weights = dict(zip(sorted(own, key=lambda s: (s is None, s or "")), [5, 2, 1] * 3))
+    total, full = 1.5 * sum(own.values()), set()
+    while True:
+        rest = total - sum(2 * own[s] for s in full)
+        target = {s: 2.0 * own[s] if s in full else rest * weights[s] / sum(weights[x] for x in own if x not in full) for s in own}
+        above = {s for s in own if s not in full and target[s] > 2 * own[s]}
+        if not above:
+            break
+        full |= above
+    taken = {}
+    for r in got:
+        assert abs(r.target - target[r.source]) < 1e-6 and r.source_size == own[r.source] and 0 <= r.taken <= 2 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in own)
+    parts = pieces.collect()
+    assert sum(p.to_word - p.from_word for p in parts) == sum(taken.values())
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(5), block_words=16)[0].collect()))
+    empty, none = mixing.mix(docs.limit(0))
+    assert empty.count() == 0 and none.count() == 0
+
+
+def test_url_filter(spark):
+    urls = ["http://a.example.com/en/7x?q", "HTTPS://WWW.Example.COM/en/1#f", "x://com", "http://example.net/de/8", "http://net/de/9", "http://org/es/", "http://notexample.com/en/7", "no scheme", None, "://example.net/de/81", "http://example.com", "http://xcom/en/", "a://b?c/en/", "http://com./en/"]
+    pages = spark.createDataFrame([(i, u, "keep") for i, u in enumerate(urls)] + [(0, urls[0], "again")], "page_id long, url string, row string")
+    rules = list(urlfilter.RULES) + [("block", "example.com", "/en/7x"), ("allow", "example.com", "/en/7x"), ("block", "a.example.com", "/zz")]
+    got = urlfilter.filter_urls(pages, urlfilter.rule_table(spark, tuple(rules)), salts=3).collect()
+    assert len(got) == len(urls) + 1 and got[0].row in ("keep", "again")
+    for r in got:
+        u = r.url or ""
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u)
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        fits = sorted((-len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p))
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, fits[0][1] if fits else None, fits[0][2] if fits else "allow"), r
+    assert urlfilter.filter_urls(pages.limit(0), urlfilter.rule_table(spark)).count() == 0
+
+
+EMAIL, IP, CARD, PHONE = (re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def plain_spans(t):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub(r"[^0-9]", "", m[0])
+    tests = (("email", EMAIL, lambda m: True), ("ip", IP, lambda m: all(int(p) <= 255 for p in m[0].split("."))), ("card", CARD, lambda m: 12 <= len(digits(m)) <= 19 and luhn(digits(m))), ("phone", PHONE, lambda m: 9 <= len(digits(m)) <= 15))
+    found = [(m.start(), n, k, m.end()) for n, (k, p, ok) in enumerate(tests) for m in p.finditer(t or "") if ok(m)]
+    return [(k, s, e) for s, _, k, e in sorted(found)]
+
+
+def test_personal_data(spark):
+    rng = random.Random(10)
+    bits = ["a.b@c.de", "x@y", "@a.b@c.d", "1.2.3.4", "999.1.1.1", "001.02.3.255", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "0000000000000", "+1 (555) 123-4567", "+49 30 1234", "++12 345 678 90", "é", "\n", "_", "%@%.%", "12", "-", ".", "token 5105105105105100", "ü@ö.de", "x@y.z@w.v"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    texts += [None, "", "1" * 20_000, "a" * 20_000 + "@", "x" * 20_000 + "@a.b"]
+    for t in texts:
+        own = [(k, s, e) for k, s, e, _, base in pii.find_spans(t) if base]
+        assert own == plain_spans(t), t
+    extra = "IBAN GB82 WEST 1234 5698 7654 32. Your social security number 078-05-1120, part 078-05-1120."
+    assert [s[0] for s in pii.find_spans(extra)][:2] == ["iban", "ssn"]
+    assert pii.redact_text("mail a@b.cd now") == "mail [EMAIL] now" and pii.redact_text(None) is None and pii.redact_text("clean") == "clean"
+    docs = spark.createDataFrame([(1, "a@b.cd", "x", 6), (1, "a@b.cd", "x", 6), (None, None, None, None)], "doc_id long, text string, spans string, n_chars long")
+    found = pii.find_pii(docs).collect()
+    assert len(found) == 3 and found[0].spans[0].kind == "email"
+    clean = pii.redact(docs, length="n_chars").collect()
+    assert clean[0].text == "[EMAIL]" and clean[0].n_chars == 7 and clean[2].text is None
+    assert pii.find_pii(docs.limit(0)).count() == 0
+    path = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in pii.op8_pii(spark, path).collect()}
+    for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect():
+        base = plain_spans(r.text)
+        digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
+        got = rows[r.doc_id]
+        assert got.base_sha256 == digest and (got.n_email, got.n_ip, got.n_card, got.n_phone) == tuple(sum(k == x for k, _, _ in base) for x in ("email", "ip", "card", "phone"))
+
+
+def test_quality(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, good), (2, None), (3, ""), (4, "a b c " * 40), (5, good.replace(" ", "### ")), (6, good.upper()), (1, good), (None, good), (7, "w " * 60_000), (8, good + "\nl x\nl x\n \n")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_words int")
+    led = quality.ledger(docs)
+    kept = sorted(str(r.doc_id) for r in quality.apply_policy(led).where("kept").collect())
+    assert kept == ["1", "1", "None"]  # row 8 repeats a third of its lines
+    by = {r.doc_id: r for r in led.collect()}
+    assert by[8].n_dup_lines == 1 and by[8].n_lines == 3 and by[4].n_repeat_words == 120 and by[2].n_words == 0
+    assert by[2].fails & quality.BIT["few_words"] and by[5].fails == quality.BIT["symbols"]
+    table = {r.rule: (r.failing, r.rescued) for r in quality.ablations(led).collect()}
+    assert table["symbols"] == (1, 1) and table["few_words"][0] == 2
+    good_rows = quality.keep_good(docs)
+    assert good_rows.columns == docs.columns and sorted(str(r.doc_id) for r in good_rows.collect()) == kept
+    assert quality.ledger(docs.limit(0)).count() == 0 and quality.keep_good(docs.limit(0)).count() == 0
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    first = docs.columns
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for n, (name, stage) in enumerate(cp.STAGES):
+        before = {r.doc_id: r for r in docs.collect()}
+        stage(spark, docs, sf).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        after = {r.doc_id: r for r in docs.collect()}
+        assert set(after) <= set(before) and docs.count() == len(after)
+        if n < len(cp.STAGES) - 1:
+            assert docs.columns == first
+        if name == "neardup":
+            sets = {i: word_set(r.text, 5) for i, r in before.items()}
+            close = lambda a, b: sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+            ids = sorted(after)
+            assert not any(close(a, b) for i, a in enumerate(ids) for b in ids[:i])
+            assert all(any(close(g, b) for b in before if b < g) for g in set(before) - set(after))
+        if name == "pii":
+            assert all(not plain_spans(r.text) and r.n_chars == len(r.text) for r in after.values())
+            assert all(after[i].text == texts[i] for i in after if not pii.find_spans(texts[i]))
+        if name == "mixing":
+            assert all(r.taken > 0 for r in after.values())
+    assert cp.run(spark, sf).select(F.sum("taken")).first()[0] == sum(r.taken for r in after.values())

@@ -35,9 +35,16 @@ def overlap_length(overlap: Column) -> Column:
     return F.regexp_extract(overlap, r"^(\d+)M$", 1).try_cast("int")
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All k-mers in order, repeats included; none in shorter sequences."""
-    return F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+def kmers(seq: Column, k: int, block: int = 256) -> Column:
+    """All k-mers in order, repeats included; none in shorter sequences.
+
+    A substring is found by walking there, so the sequence is cut into overlapping blocks first
+    and k-mers are taken from the blocks: long sequences cost nearly linear time.
+    """
+    last = F.length(seq) - k + 1
+    blocks = F.transform(F.sequence(F.lit(1), last, F.lit(block)), lambda b: F.substring(seq, b, F.lit(block + k - 1)))
+    each = F.transform(blocks, lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - k + 1), lambda i: F.substring(x, i, F.lit(k))))
+    return F.when(F.length(seq) >= k, F.flatten(each)).otherwise(F.array().cast("array<string>"))
 
 
 def kmer_set(seq: Column, k: int) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transpark.plans.ordering import number_rows
+
 # Names known by themselves, as group -> family -> names in lower case.
 FAMILIES = {
     "IS1": {"IS1": "is1 is1a is1b", "ISSen": "issen issen1 issen2"},
@@ -142,19 +144,9 @@ def expand_classes(candidates: DataFrame, tag: str, products: str) -> DataFrame:
 
 
 def tag_candidates(candidates: DataFrame, order: list[str], offset: int = 0) -> DataFrame:
-    """Candidates numbered over the whole order and tagged CT001, CT002, ...
-
-    Numbers are ranks by a range-partitioned sort: rows per partition are counted first and each
-    partition numbers its own, so the order never meets in one task.
-    """
-    ranged = candidates.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part_", F.spark_partition_id()).withColumn("row_", F.monotonically_increasing_id())
-    from transpark.plans.storage import materialise
-
-    ranged = materialise(ranged)
-    sizes = ranged.groupBy("part_").agg(F.count("*").alias("n_"), F.min("row_").alias("first_"))
-    before = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
-    nth = F.col("before_") + F.col("row_") - F.col("first_") + 1 + offset
-    return ranged.join(F.broadcast(before.select("part_", "before_", "first_")), "part_").withColumn("ct_tag", F.format_string("CT%03d", nth)).drop("part_", "row_", "before_", "first_")
+    """Candidates numbered over the whole order and tagged CT001, CT002, ..."""
+    numbered = number_rows(candidates, order, "nth_")
+    return numbered.withColumn("ct_tag", F.format_string("CT%03d", F.col("nth_") + offset)).drop("nth_")
 
 
 def split_boundaries(df: DataFrame, length: str, is_spans: str, gene_spans: str) -> DataFrame:

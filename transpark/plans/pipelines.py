@@ -13,6 +13,7 @@ from transpark.operators.enrich import element_family, expand_classes, tag_candi
 from transpark.operators.intervals import without_overlap
 from transpark.operators.similarity import kmer_dedupe
 from transpark.plans.config import Options
+from transpark.plans.ordering import number_rows
 from transpark.plans.storage import materialise
 
 
@@ -98,13 +99,13 @@ def short_ids(long: DataFrame, pairs: DataFrame) -> DataFrame:
     """long (long_id) with short_id; ids without a pair are Unknown_SRR_n, numbered by their order."""
     last = pairs.groupBy("long_id").agg(F.max_by("short_id", "ord").alias("short_id"))
     out = long.join(last, "long_id", "left")
-    lost = out.where(F.col("short_id").isNull()).select("long_id").distinct().withColumn("n", F.row_number().over(Window.orderBy("long_id")))
+    lost = number_rows(out.where(F.col("short_id").isNull()).select("long_id").distinct(), ["long_id"], "n")
     return out.join(lost, "long_id", "left").select("long_id", F.coalesce("short_id", F.concat(F.lit("Unknown_SRR_"), F.col("n").cast("string"))).alias("short_id"))
 
 
 def in_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
     """df with ``batch``: rows in order, ``size`` to a batch."""
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size))
+    return number_rows(df, order, "n_").withColumn("batch", F.floor((F.col("n_") - 1) / size)).drop("n_")
 
 
 def molecule(records: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ship_by_value
+from .common import cut, ship_by_value, small_or_not
 
 BINS = 1 << 13
 ORDERS = 3
@@ -115,7 +115,8 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_languag
     sizes = cut(rows.groupBy("lang").agg(F.count("*").alias("n")))
     draw = F.xxhash64("text")
     share = F.pmod(draw, F.lit(1 << 30)) < F.lit(float(2 * per_language << 30)) / F.col("n")
-    drawn = rows.join(sizes, "lang").where(share).withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "text"))).where(F.col("nth") <= per_language)
+    # The sizes are a row per language: joined by broadcast, so that only drawn texts are shuffled.
+    drawn = rows.join(small_or_not(sizes), "lang").where(share).withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "text"))).where(F.col("nth") <= per_language)
     sample = cut(drawn.select("lang", "text").mapInArrow(_features, "lang string, bins array<int>, counts array<double>").where(F.size("bins") > 0))
     total = sample.count()
     idf = np.full(BINS, np.log(1 + total))

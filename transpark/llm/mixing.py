@@ -18,7 +18,7 @@ from .common import cut, small_or_not
 POINTS, GOLDEN = 1 << 31, 1327217885
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
 BLOCK_WORDS = 256
-CHUNK, BIN_BITS = 1 << 16, 19
+CHUNK, BIN_BITS = 1 << 13, 19
 WORD = r"[^\x20\x09-\x0D]+"
 
 

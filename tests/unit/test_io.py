@@ -140,3 +140,9 @@ def test_streaming_hits(spark, tmp_path):
     run = stream.writeStream.format("memory").queryName("scored").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
     run.awaitTermination(60)
     assert [r.score for r in spark.table("scored").collect()] == [99.0]
+
+
+def test_windowed_best_scores(spark):
+    rows = [("q", 99.0, 50, 50, 0.0, "2024-01-01 00:01:00"), ("q", 90.0, 50, 50, 0.0, "2024-01-01 00:02:00"), ("q", 85.0, 50, 50, 0.0, "2024-01-01 00:11:00")]
+    hits = spark.createDataFrame(rows, "qseqid string, pident double, length int, slen int, evalue double, at string").withColumn("at", F.col("at").cast("timestamp"))
+    assert sorted(r.score for r in stateless.best_scores(hits, "at").collect()) == [85.0, 99.0]

@@ -208,3 +208,29 @@ def test_queries_against_sql(spark, name):
     assert sorted(names) == sorted(got.columns)
     show = lambda rows: sorted(repr([round(float(v), 6) if isinstance(v, float) else v for v in r]) for r in rows)
     assert show(tuple(r) for r in got.select(*[f"`{n}`" for n in names]).collect()) == show(cur.fetchall())
+
+
+def test_path_queries_have_no_lowered_limit(spark):
+    sf = "/root/testdata/sf0.001"
+    after = {}
+    for r in catalog.queries()["strand_doubled_edges"](spark, sf).collect():
+        after.setdefault(r.graph_id, {}).setdefault(r.src, set()).add(r.dst)
+    cycles, hairpins = set(), set()
+
+    def walk(g, own, path):
+        nexts = own.get(path[-1], ())
+        if path[0] in nexts and path[0] == min(path):
+            cycles.add((g, ",".join(path)))
+        if flip(path[0]) in nexts:
+            hairpins.add((g, ",".join(path)))
+        for n in nexts:
+            if n not in path:
+                walk(g, own, [*path, n])
+
+    for g, own in after.items():
+        for n in own:
+            walk(g, own, [n])
+    long = {x for x in cycles if x[1].count(",") > 4}
+    found = lambda name: {(r.graph_id, r.path) for r in catalog.queries()[name](spark, sf).collect()}
+    assert long and found("simple_cycles_whole") == cycles and found("hairpin_paths_whole") == hairpins
+    assert any(path.count(",") > 4 for _, path in found("dfs_cycles"))

@@ -380,19 +380,41 @@ y AS (SELECT DISTINCT w.graph_id, path FROM w JOIN e ON e.graph_id = w.graph_id
 
 @query("simple_cycles", CYCLES_SQL + "SELECT graph_id, array_to_string(path, ',') AS path FROM y")
 def simple_cycles(spark, sf):
-    return G.simple_cycles(_edges(spark, sf), ["graph_id"], 5).select("graph_id", F.array_join("path", ",").alias("path"))
+    return _cycles(spark, sf, 5)
+
+
+# The SQL of four queries holds paths of 5 nodes (hairpins 3) at most; the *_whole queries have the
+# operators' own limit and no SQL.
+
+
+def _cycles(spark, sf, *limit):
+    return G.simple_cycles(_edges(spark, sf), ["graph_id"], *limit).select("graph_id", F.array_join("path", ",").alias("path"))
+
+
+@query("simple_cycles_whole")
+def simple_cycles_whole(spark, sf):
+    return _cycles(spark, sf)
 
 
 @query("hairpin_paths", f"""WITH RECURSIVE {EDGES_SQL}, w AS (SELECT DISTINCT graph_id, [src] AS path FROM e UNION ALL {WALKS.replace('< 5', '< 3')})
 SELECT DISTINCT w.graph_id, array_to_string(path, ',') AS path FROM w JOIN e ON e.graph_id = w.graph_id AND e.src = path[-1] AND e.dst = {FLIP.format(c="path[1]")}""")
 def hairpin_paths(spark, sf):
-    return G.hairpin_paths(_edges(spark, sf), ["graph_id"], 3).select("graph_id", F.array_join("path", ",").alias("path"))
+    return _hairpins(spark, sf, 3)
+
+
+def _hairpins(spark, sf, *limit):
+    return G.hairpin_paths(_edges(spark, sf), ["graph_id"], *limit).select("graph_id", F.array_join("path", ",").alias("path"))
+
+
+@query("hairpin_paths_whole")
+def hairpin_paths_whole(spark, sf):
+    return _hairpins(spark, sf)
 
 
 @query("dfs_cycles")
 def dfs_cycles(spark, sf):
     edges = _edges(spark, sf).withColumn("ord", F.row_number().over(Window.partitionBy("graph_id").orderBy(*ORD, "turn")))
-    return G.dfs_cycles(edges.select("graph_id", "src", "dst", "ord"), ["graph_id"], 5).select("graph_id", "ord", F.array_join("path", ",").alias("path"), "hairpin")
+    return G.dfs_cycles(edges.select("graph_id", "src", "dst", "ord"), ["graph_id"]).select("graph_id", "ord", F.array_join("path", ",").alias("path"), "hairpin")
 
 
 def _nodes(spark, sf):
@@ -410,8 +432,17 @@ ns AS (SELECT graph_id, node, CASE WHEN ends_with(node, '+') THEN p ELSE {RC.for
 q AS (SELECT s.graph_id, s.path, i, CASE WHEN b IS NULL THEN seq ELSE substr(seq, 1, greatest(0, length(seq) - (SELECT min(replace(overlap, 'M', '')::INT) FROM e WHERE e.graph_id = s.graph_id AND e.src = s.a AND e.dst = s.b))) END AS part FROM s JOIN ns ON ns.graph_id = s.graph_id AND ns.node = s.a)
 SELECT graph_id, array_to_string(path, ',') AS path, string_agg(part, '' ORDER BY i) AS sequence, len(path)::INT AS components FROM q GROUP BY graph_id, path HAVING sum(length(part)) BETWEEN 20 AND 100""")
 def path_sequence(spark, sf):
+    return _sequences(spark, sf, 5)
+
+
+@query("path_sequence_whole")
+def path_sequence_whole(spark, sf):
+    return _sequences(spark, sf)
+
+
+def _sequences(spark, sf, *limit):
     edges = _edges(spark, sf)
-    paths = G.simple_cycles(edges, ["graph_id"], 5).withColumn("path_id", F.array_join("path", ","))
+    paths = G.simple_cycles(edges, ["graph_id"], *limit).withColumn("path_id", F.array_join("path", ","))
     out = G.path_sequences(paths, _nodes(spark, sf), edges, ["graph_id"])
     return G.in_size(out, 20, 100, 1, 25).select("graph_id", F.col("path_id").alias("path"), "sequence", "components")
 
@@ -421,14 +452,23 @@ t AS (SELECT graph_id, id, sum(n) AS total, list_sort(list(DISTINCT contig)) AS
 m AS (SELECT a.graph_id, a.id AS later, b.id AS earlier, sum(CASE WHEN a.node = b.node THEN a.n ELSE 0 END) AS shared FROM pl a JOIN pl b ON a.graph_id = b.graph_id AND a.contig = b.contig AND b.id < a.id GROUP BY ALL)
 SELECT m.graph_id, later, earlier, round(shared * 100.0 / greatest(a.total, b.total), 6) AS percent, a.contigs = b.contigs AS same_contigs FROM m JOIN t a ON a.graph_id = m.graph_id AND a.id = later JOIN t b ON b.graph_id = m.graph_id AND b.id = earlier""")
 def path_overlap_pairs(spark, sf):
-    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"], 5).withColumn("path_id", F.array_join("path", ","))
+    return _overlaps(spark, sf, 5)
+
+
+@query("path_overlap_pairs_whole")
+def path_overlap_pairs_whole(spark, sf):
+    return _overlaps(spark, sf)
+
+
+def _overlaps(spark, sf, *limit):
+    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"], *limit).withColumn("path_id", F.array_join("path", ","))
     nodes = _nodes(spark, sf).withColumn("len", F.length("seq"))
     return G.path_overlap(paths, nodes, ["graph_id"]).withColumn("percent", F.round("percent", 6))
 
 
 @query("path_dedupe")
 def path_dedupe(spark, sf):
-    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"], 5).withColumn("id", F.array_join("path", ","))
+    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"]).withColumn("id", F.array_join("path", ","))
     # A path's order within all graphs: its graph, then its text.
     paths = paths.withColumn("path_id", F.format_string("%012d %s", "graph_id", "id"))
     nodes = _nodes(spark, sf).withColumn("len", F.length("seq"))

@@ -227,3 +227,15 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "mixing":
             assert all(r.taken > 0 for r in after.values())
     assert cp.run(spark, sf).select(F.sum("taken")).first()[0] == sum(r.taken for r in after.values())
+
+
+def test_rows_of_one_id_have_their_own_fate(spark):
+    words = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(1, words(1)), (None, words(1) + " end"), (None, words(2)), (2, words(3)), (2, words(1) + " more"), (None, words(4)), (None, words(4) + " end"), (None, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in neardup.drop_near_duplicates(docs).collect()]
+    fours = [r for r in kept if (r[1] or "").startswith("w4x")]
+    assert len(fours) == 1 and sorted(map(repr, set(kept) - set(fours))) == sorted(map(repr, [(1, words(1)), (None, words(2)), (2, words(3)), (None, None), (3, "")]))
+    bench = spark.createDataFrame([(0, words(2)), (1, words(3))], "item_id long, text string")
+    left = decontaminate.drop_leaks(docs, bench).collect()
+    assert sorted(repr(tuple(r)) for r in left) == sorted(repr(r) for r in rows if r[1] not in (words(2), words(3)))

@@ -117,10 +117,14 @@ def find_leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Documents in which no benchmark item was found, with all their columns."""
-    leaks = cut(find_leaks(docs, benchmark, doc_id, **options).select(F.col("doc_id").alias("leak_id")).distinct())
-    return docs.join(small_or_not(leaks), docs[doc_id].eqNullSafe(leaks["leak_id"]), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Documents in which no benchmark item was found, with all their columns.
+
+    Rows are told apart by id and text, so rows of an equal id, or without one, have their own fate.
+    """
+    keyed = docs.withColumn("_row", F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text")))
+    leaks = cut(find_leaks(keyed, benchmark, "_row", text, **options).select(F.col("doc_id").alias("leak_row")).distinct())
+    return keyed.join(small_or_not(leaks), keyed["_row"].eqNullSafe(leaks["leak_row"]), "left_anti").drop("_row")
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -224,14 +224,17 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """The rows that stand for their group, one for each, with all their columns.
 
     Of rows that repeat both an id and a text one stays; rows of an equal id with other texts are
-    documents of their own.
+    documents of their own, also without an id. The least id stands for a group, of equal ones the
+    least text hash.
     """
-    gone = cut(near_duplicates(docs, doc_id, text, **options).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct())
-    left = docs.join(small_or_not(gone), docs[doc_id].eqNullSafe(gone["gone_id"]), "left_anti")
+    # Rows are told apart by id and text; a null id counts as larger than all.
+    keyed = docs.withColumn("_row", F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(text, F.col(text).isNull()).alias("text")))
+    gone = cut(near_duplicates(keyed, "_row", text, **options).where("not kept").select(F.col("doc_id").alias("gone_row")).distinct())
+    left = keyed.join(small_or_not(gone), keyed["_row"].eqNullSafe(gone["gone_row"]), "left_anti").drop("_row")
     again = cut(docs.groupBy(F.col(doc_id).alias("again_id")).count().where("count > 1"))
     if again.isEmpty():
         return left
-    again, same = small_or_not(again), docs[doc_id].eqNullSafe(again["again_id"])
+    again, same = small_or_not(again), left[doc_id].eqNullSafe(again["again_id"])
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([doc_id, text]))
 
 

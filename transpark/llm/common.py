@@ -50,6 +50,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once as a table in the shared folder and read from there."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a side for broadcast if its counted rows stay below a bound.
 

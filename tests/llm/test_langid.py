@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 from transpark.llm import langid
 
 
@@ -16,3 +19,63 @@ def test_edge_rows(spark):
     nothing = langid.fit(docs.where("lang = 'z'"))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
     assert langid.identify(docs.limit(0), nothing).count() == 0
+
+
+def test_no_language_vanishes(spark):
+    """A text that makes up a whole language, or most of one, is learnt, as are few others beside it."""
+    rows = [(f"eins zwei drei {w}", "de") for w in ["vier"] * 20_000 + [f"h{i}e" for i in range(30)]]
+    rows += [("uno dos tres", "es")] * 20_000 + [("un deux trois", "fr"), ("one two three", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    for per_language in (1, 5, 1000):
+        model = langid.fit(docs, per_language=per_language)
+        assert set(model.languages) == {"de", "es", "fr", "en"}
+        assert [model.predict(t)[0] for t in ("uno dos tres", "un deux trois", "one two three")] == ["es", "fr", "en"]
+    again = langid.fit(docs.repartition(3, "text"), per_language=5)
+    assert (again.centres == langid.fit(docs, per_language=5).centres).all()
+
+
+def bins_of(text):
+    """Bins and counts, letter by letter."""
+    found, out = [], Counter()
+    for c in text.lower():
+        if c.isalpha():
+            found.append(ord(c))
+        elif not found or found[-1]:
+            found.append(0)
+    if not any(found):
+        return {}
+    for n in range(1, langid.ORDERS + 1):
+        for i in range(len(found) - n + 1):
+            code = 0
+            for x in found[i : i + n]:
+                code = code * 1_114_111 + x
+            mixed = ((code + 2**63) % 2**64 - 2**63) * 0x9E3779B1 + n * 0x85EBCA6B & 0x7FFFFFFFFFFFFFFF
+            out[(mixed ^ mixed >> 29) % langid.BINS] += 1
+    return out
+
+
+def test_nearest_centroid_brute_force(spark):
+    """With no more texts than centroids each text is one: the nearest text's language wins, ties go by name."""
+    known = {"b": ["der hund und die katze", "das haus am see", "Über allen Gipfeln"], "a": ["the dog and the cat", "a house by the sea", "over all the hilltops"], "c": ["a house by the sea"]}
+    texts = ["the hund", "see", "sea", "a house by the sea", "katze cat", "1 2 3", "", "über!", "xq"]
+    docs = spark.createDataFrame([(t, lang) for lang, ts in known.items() for t in ts], "text string, lang string")
+    model = langid.fit(docs)
+    vectors = {(lang, t): bins_of(t) for lang, ts in known.items() for t in ts}
+    df = Counter(b for v in vectors.values() for b in v)
+    idf = lambda b: math.log((1 + len(vectors)) / (1 + df[b])) + 0.1 if b in df else math.log(1 + len(vectors))
+
+    def weights(v):
+        w = {b: (1 + math.log(n)) * idf(b) for b, n in v.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {b: x / norm for b, x in w.items()}
+
+    for t in texts:
+        lang, score, _ = model.predict(t)
+        own = bins_of(t)
+        if not own:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        mine = weights(own)
+        near = [(sum(x * w.get(b, 0) for b, x in mine.items()), lang) for (lang, _), w in ((k, weights(v)) for k, v in vectors.items())]
+        best = max(s for s, _ in near)
+        assert abs(score - best) < 1e-5 and lang == min(x for s, x in near if s > best - 1e-6), t

@@ -9,11 +9,12 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-#: Rows that a side may have to be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes that a side may have to be broadcast; beyond either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64_000_000
 
 
 def ship_by_value(module_name: str) -> None:
@@ -57,12 +58,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast if its counted rows stay below a bound.
+def _width(value: Column, kind: DataType) -> Column:
+    """About the bytes of a value."""
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, StructType):
+        size = sum((_width(value[f.name], f.dataType) for f in kind), F.lit(0))
+    elif isinstance(kind, ArrayType):
+        fixed = not isinstance(kind.elementType, (StringType, BinaryType, StructType, ArrayType, MapType))
+        size = F.size(value) * 8 if fixed else F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _width(x, kind.elementType))
+    elif isinstance(kind, MapType):
+        size = F.octet_length(F.to_json(value))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + 8
 
-    Call it on checkpointed (or otherwise cheap) frames of narrow rows: they are counted here.
+
+def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a side for broadcast if its rows, and their bytes, stay below a bound.
+
+    Call it on checkpointed (or otherwise cheap) frames: they are counted here.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0).cast("long"))
+    n, total = df.agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(df) if n <= rows and (total or 0) <= size else df
 
 
 def word_lists(texts: list) -> list[list[bytes]]:

@@ -60,18 +60,18 @@ def _vector(bins: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [grams(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b.tolist() for b, _ in out], pa.list_(pa.int32())), pa.array([c.tolist() for _, c in out], pa.list_(pa.float64()))], names=["lang", "bins", "counts"])
+        out = [grams(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b.tolist() for b, _ in out], pa.list_(pa.int32())), pa.array([c.tolist() for _, c in out], pa.list_(pa.float64()))], names=["lang", "draw", "bins", "counts"])
 
 
 def _fit(idf: np.ndarray):
     """Spherical k-means over the sampled rows of one language."""
 
     def kernel(table: pa.Table) -> pa.Table:
+        table = table.sort_by("draw")  # so that partitions have no say in ties
         rows = np.zeros((table.num_rows, BINS), np.float32)
         for i, (b, c) in enumerate(zip(table.column("bins").to_pylist(), table.column("counts").to_pylist(), strict=True)):
             rows[i, b] = _vector(np.array(b), np.array(c), idf)
-        rows = rows[np.lexsort(rows[:, :64].T)]  # the order of rows has no say
         centres = [rows.mean(0)]
         centres[0] /= np.linalg.norm(centres[0])
         while len(centres) < min(CENTROIDS, len(rows)):
@@ -109,15 +109,17 @@ class Centroids:
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_language: int = PER_LANGUAGE) -> Centroids:
     """Centroids from labelled rows with letters; rows without a label aren't used.
 
-    From each language at most ``per_language`` rows are drawn, by the hash of their text.
+    From each language up to ``per_language`` distinct texts are drawn, by their hash, so that a
+    text counts once however often it is repeated, and no language is left out.
     """
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sizes = cut(rows.groupBy("lang").agg(F.count("*").alias("n")))
-    draw = F.xxhash64("text")
-    share = F.pmod(draw, F.lit(1 << 30)) < F.lit(float(2 * per_language << 30)) / F.col("n")
-    # The sizes are a row per language: joined by broadcast, so that only drawn texts are shuffled.
-    drawn = rows.join(small_or_not(sizes), "lang").where(share).withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "text"))).where(F.col("nth") <= per_language)
-    sample = cut(drawn.select("lang", "text").mapInArrow(_features, "lang string, bins array<int>, counts array<double>").where(F.size("bins") > 0))
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.xxhash64(text).alias("draw"), F.col(text).alias("text"))
+    sizes = cut(rows.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n")))
+    # Twice the texts that are wanted, as the number of distinct ones is an estimate within a few percent.
+    share = F.pmod("draw", F.lit(1 << 30)) < F.lit(float(2 * per_language << 30)) / F.col("n")
+    # The sizes are a row per language: joined by broadcast, so that only drawn texts are shuffled, once each.
+    drawn = rows.join(small_or_not(sizes), "lang").where(share).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    drawn = drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= per_language)
+    sample = cut(drawn.select("lang", "draw", "text").mapInArrow(_features, "lang string, draw long, bins array<int>, counts array<double>").where(F.size("bins") > 0))
     total = sample.count()
     idf = np.full(BINS, np.log(1 + total))
     for b, n in sample.select(F.explode("bins").alias("b")).groupBy("b").count().collect():

@@ -9,10 +9,14 @@ candidates that follow each other are contracted before the jumps.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_path, small_or_not
+from .common import cut, shared_path, ship_by_value, small_or_not
 
 #: Fixed values of the format.
 MAGIC, END = "WARC/1.1\r\n", "\r\n\r\n"
@@ -21,6 +25,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html;charset=utf-8\r\nContent-Length: "
 DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 0
+#: Bytes of a file whose candidates are put in order together.
+STRETCH = 1 << 26
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -92,34 +98,37 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), "value")
 
 
+def _last_before(rows: DataFrame, value: Column, name: str, also_own: bool) -> DataFrame:
+    """Adds the last non-null value of the rows before each one in its file (or of its own), in two
+    levels: within stretches of STRETCH bytes, and between these, so no file is one task's."""
+    rows = rows.withColumn("_v", value).withColumn("_s", F.floor(F.col("start") / STRETCH))
+    ends = rows.groupBy("file", "_s").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("start"))).alias("_e"))
+    earlier = Window.partitionBy("file").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("file", "_s", F.last("_e", ignorenulls=True).over(earlier).alias("_e"))
+    within = Window.partitionBy("file", "_s").orderBy("start").rowsBetween(Window.unboundedPreceding, 0 if also_own else -1)
+    own = rows.withColumn(name, F.last("_v", ignorenulls=True).over(within))
+    return own.join(ends, ["file", "_s"]).withColumn(name, F.coalesce(name, "_e")).drop("_v", "_s", "_e")
+
+
 def reachable(candidates: DataFrame) -> DataFrame:
     """(file, start) of the candidates (file, start, next) on the chain from offset 0 of each file."""
-    order = Window.partitionBy("file").orderBy("start")
-    near = candidates.withColumns({"before": F.lag("next").over(order), "after": F.lead("start").over(order)})
+    near = _last_before(candidates, F.struct("start", "next"), "prior", also_own=False)
     # A run starts where the candidate before doesn't lead here, or where another one leads here.
-    leaps = near.where("next is not null and (after is null or next <> after)").select("file", F.col("next").alias("start")).distinct().withColumn("entered", F.lit(True))
-    marked = near.join(leaps, ["file", "start"], "left")
-    heads = F.when(F.coalesce(F.col("before") == F.col("start"), F.lit(False)) & F.col("entered").isNull(), 0).otherwise(1)
-    runs = cut(marked.withColumn("run", F.sum(heads).over(order)).select("file", "start", "next", "run"))
-    chain = runs.groupBy("file", "run").agg(F.min("start").alias("head"), F.max_by("next", "start").alias("next"))
-    jump = cut(chain.select("file", "run", "head", "next"))
+    from_prior = F.coalesce(F.col("prior.next") == F.col("start"), F.lit(False))
+    follow = near.select("file", F.col("prior.start").alias("from")).where(from_prior)
+    others = candidates.where("next is not null").join(follow, (candidates["file"] == follow["file"]) & (candidates["start"] == follow["from"]), "left_anti")
+    leaps = others.select("file", F.col("next").alias("start")).distinct().withColumn("entered", F.lit(True))
+    marked = near.withColumn("joins", from_prior).drop("prior").join(leaps, ["file", "start"], "left")
+    head = F.when(F.col("joins") & F.col("entered").isNull(), F.lit(None)).otherwise(F.col("start"))
+    runs = cut(_last_before(marked, head, "head", also_own=True).select("file", "start", "next", "head"))
+    jump = cut(runs.groupBy("file", "head").agg(F.max_by("next", "start").alias("next")))
     most = jump.groupBy("file").count().agg(F.max("count")).first()[0] or 0
-    reached, jump = jump.where("head = 0").select("file", "head"), jump.where("next is not null").select("file", "head", "next")
+    reached, jump = jump.where("head = 0").select("file", "head"), jump.where("next is not null")
     for _ in range(max(0, most - 1).bit_length()):
         more = reached.join(jump, ["file", "head"]).select("file", F.col("next").alias("head"))
         reached = cut(reached.unionByName(more))
         jump = cut(jump.join(jump.select("file", F.col("head").alias("next"), F.col("next").alias("beyond")), ["file", "next"]).select("file", "head", F.col("beyond").alias("next")))
-    firsts = runs.groupBy("file", "run").agg(F.min("start").alias("head")).join(reached, ["file", "head"], "left_semi")
-    return runs.join(firsts.select("file", "run"), ["file", "run"], "left_semi").select("file", "start")
-
-
-def _stretches(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks with what their headers say, and the payload of those that are one whole record."""
-    rows = _chunks(spark, path).withColumn("head", F.substring_index("value", END, 1)).withColumn("size", F.octet_length("value").cast("long"))
-    rows = rows.withColumn("length", F.expr("try_cast(regexp_extract(concat('\\r\\n', head), '(?i)\\r\\nContent-Length:[ \\t]*([0-9]+)', 1) AS BIGINT)"))
-    rows = rows.withColumn("body", F.octet_length("head").cast("long") + len(END))
-    whole = F.coalesce(F.col("body") + F.col("length") + len(END) == F.col("size"), F.lit(False))
-    return rows.withColumn("whole", whole).withColumn("payload", F.when(whole, _payload(_block("value", 0))))
+    return runs.join(reached, ["file", "head"], "left_semi").select("file", "start")
 
 
 def _block(value: str, skipped: int) -> Column:
@@ -128,18 +137,20 @@ def _block(value: str, skipped: int) -> Column:
 
 def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """All chunks with their offsets, and those that start a record, with its header fields."""
-    parts = _stretches(spark, path)
+    rows = _chunks(spark, path).withColumn("head", F.substring_index("value", END, 1)).withColumn("size", F.octet_length("value").cast("long"))
+    rows = rows.withColumn("length", F.expr("try_cast(regexp_extract(concat('\\r\\n', head), '(?i)\\r\\nContent-Length:[ \\t]*([0-9]+)', 1) AS BIGINT)"))
+    rows = rows.withColumn("body", F.octet_length("head").cast("long") + len(END))
+    whole = F.coalesce(F.col("body") + F.col("length") + len(END) == F.col("size"), F.lit(False))
+    # A chunk that is one whole record says its payload's digest right here.
+    parts = rows.withColumn("whole", whole).withColumn("payload", F.when(whole, _payload(_block("value", 0))))
     held = ["file", "block", "nth", "size", "length", "body", "whole", F.when(F.col("length").isNotNull(), F.col("head")).alias("head")]
     parts = cut(parts.select(*held, F.when(F.col("whole"), base32_sha1(F.col("payload"))).alias("read_digest"), F.octet_length("payload").cast("long").alias("read_bytes")))
     step = F.col("size") + len(MAGIC)
     zero = F.lit(0).cast("long")
-    blocks = parts.groupBy("file", "block").agg(F.sum(step).alias("in_block"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("file", "block", F.coalesce(F.sum("in_block").over(earlier), zero).alias("before"))
     order = Window.partitionBy("file", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.withColumn("own", F.coalesce(F.sum(step).over(order), zero)).join(blocks, ["file", "block"])
+    placed = parts.withColumn("own", F.coalesce(F.sum(step).over(order), zero)).join(_before_blocks(parts.select("file", "block", step.alias("step"))), ["file", "block"])
     placed = placed.withColumn("start", F.col("before") + F.col("own") - len(MAGIC))
-    placed = cut(placed.where("start >= 0").withColumn("next", F.col("start") + len(MAGIC) + F.col("body") + F.col("length") + len(END)).drop("before", "own"))
+    placed = cut(placed.where("start >= 0").withColumn("next", F.col("start") + len(MAGIC) + F.col("body") + F.col("length") + len(END)).drop("before", "own", "block", "nth"))
     records = placed.join(reachable(placed.select("file", "start", "next")), ["file", "start"], "left_semi")
     told = records.withColumns({
         "page": F.regexp_extract(_header("WARC-Record-ID"), "^<urn:page:(.*)>$", 1),
@@ -152,15 +163,52 @@ def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return placed, cut(told.drop("head", "size"))
 
 
+def _before_blocks(steps: DataFrame) -> DataFrame:
+    """(file, block, before): the bytes of a file's blocks before each one; steps: (file, block, step)."""
+    blocks = steps.groupBy("file", "block").agg(F.sum("step").alias("in_block"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("file", "block", F.coalesce(F.sum("in_block").over(earlier), F.lit(0).cast("long")).alias("before"))
+
+
+def _within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks (file, block, value) in a task's order -> with the bytes of the block's chunks before."""
+    block, own = None, 0
+    for batch in batches:
+        sizes = [x + len(MAGIC) for x in pc.binary_length(batch.column(2)).to_pylist()]
+        before = []
+        for key, size in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), sizes, strict=True):
+            if key != block:
+                block, own = key, 0
+            before.append(own)
+            own += size
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(before, pa.int64()), batch.column(2)], names=["file", "block", "own", "value"])
+
+
+def _placed_values(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, value) of all chunks: a read of its own, that derives offsets by itself."""
+    chunks = _chunks(spark, path).drop("nth")
+    before = _before_blocks(chunks.select("file", "block", (F.octet_length("value").cast("long") + len(MAGIC)).alias("step")))
+    placed = chunks.mapInArrow(_within_blocks, "file string, block long, own long, value string")
+    # A block that the sums don't have was split in another way: this then fails rather than lose it.
+    known = F.coalesce("before", F.raise_error(F.concat(F.lit("splits changed while reading "), "file")).cast("long"))
+    return placed.join(small_or_not(before), ["file", "block"], "left").select("file", (known + F.col("own") - len(MAGIC)).alias("start"), "value")
+
+
 def _joined(spark: SparkSession, path: str, placed: DataFrame, records: DataFrame) -> DataFrame:
-    """(file, start, payload) of records that magic lines cut up, fetched again and put in order."""
-    spans = records.select("file", F.col("start").alias("r_start"), "next", F.col("body").alias("r_body"), F.col("length").alias("r_length"))
-    inside = placed.select("file", "block", "nth", "start").join(spans, "file").where("start >= r_start and start < next")
-    inside = inside.select("file", "block", "nth", "start", "r_start", F.col("r_body").alias("body"), F.col("r_length").alias("length"))
-    pieces = _chunks(spark, path).join(small_or_not(cut(inside)), ["file", "block", "nth"])
+    """(file, start, payload) of records that magic lines cut up, fetched again and put in order.
+
+    Chunks are known by their offset, so it doesn't matter how this read is split; a record that
+    isn't found whole fails the query.
+    """
+    broken = records.select("file", "start", F.struct("start", "next", "body", "length").alias("own"))
+    owned = _last_before(placed.select("file", "start").join(broken, ["file", "start"], "left"), F.col("own"), "r", also_own=True)
+    inside = cut(owned.where("start < r.next").select("file", "start", F.col("r.start").alias("r_start"), F.col("r.body").alias("body"), F.col("r.length").alias("length")))
+    pieces = _placed_values(spark, path).join(small_or_not(inside), ["file", "start"])
     piece = F.struct("start", F.concat(F.lit(MAGIC), "value").alias("value"))
-    whole = pieces.groupBy("file", F.col("r_start").alias("start"), "body", "length").agg(F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["value"]), "").alias("value"))
-    return whole.select("file", "start", _payload(_block("value", len(MAGIC))).alias("payload"))
+    whole = pieces.groupBy("file", "r_start", "body", "length").agg(F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["value"]), "").alias("value"))
+    found = F.octet_length("value") >= F.col("body") + F.col("length") + len(MAGIC)
+    checked = F.when(found, _payload(_block("value", len(MAGIC)))).otherwise(F.raise_error(F.concat(F.lit("archive changed while it was read: "), "file")).cast("binary"))
+    return whole.select("file", F.col("r_start").alias("start"), checked.alias("payload"))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -191,8 +239,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """The payloads (binary) of all verified response records: page, target, payload."""
     placed, told = _verified(spark, path)
     told = told.where("record_type = 'response'")
-    single = told.where("whole").select("file", "block", "nth", "page", "target")
-    out = _stretches(spark, path).select("file", "block", "nth", "payload").join(single, ["file", "block", "nth"]).select("page", "target", "payload")
+    single = cut(told.where("whole").select("file", "start", "body", "length", "page", "target"))
+    out = _placed_values(spark, path).join(small_or_not(single), ["file", "start"])
+    out = out.select("page", "target", _payload(_block("value", 0)).alias("payload"))
     broken = told.where("not whole")
     return out.unionByName(_joined(spark, path, placed, broken).join(broken.select("file", "start", "page", "target"), ["file", "start"]).select("page", "target", "payload"))
 
@@ -215,3 +264,5 @@ f AS (SELECT *, strlen(h)::BIGINT n, min(page_id) OVER (PARTITION BY h) r FROM p
 SELECT page_id, n payload_bytes, {B32} payload_digest, CASE WHEN n >= {MIN_BYTES} AND page_id <> r THEN 'revisit' ELSE 'response' END record_type,
   CASE WHEN n >= {MIN_BYTES} AND page_id <> r THEN r END refers_to, true intact FROM f
 """
+
+ship_by_value(__name__)

@@ -96,6 +96,53 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def plain_leaks(docs, items):
+    """All diagonals that a seed hits, word by word."""
+    split = lambda t: re.split(r"[\W_]+", (t or "").lower())
+    out = {}
+    for i, t in docs:
+        d = split(t)
+        for k, u in items:
+            v = [w for w in split(u) if w]
+            masks = [m for m in decontaminate.MASKS if len(m) <= len(v)] or ["1" * len(v)] * bool(v)
+            for g in range(-len(v), len(d)):
+                same = [0 <= j + g < len(d) and d[j + g] == v[j] for j in range(len(v))]
+                if any(0 <= g + p and g + p + len(m) <= len(d) and all(same[p + o] for o, bit in enumerate(m) if bit == "1") for m in masks for p in range(len(v) - len(m) + 1)):
+                    here = best = 0
+                    for x in same:
+                        here = max(0, here + (1 if x else -decontaminate.MISMATCH))
+                        best = max(best, here)
+                    if 10 * sum(same) >= 8 * len(v) or best >= decontaminate.MIN_SCORE:
+                        out[i, k] = (max(best, out.get((i, k), (0, 0))[0]), max(sum(same), out.get((i, k), (0, 0))[1]))
+    return out
+
+
+def test_short_items_and_replaced_words(spark):
+    rng = random.Random(11)
+    vocabulary = "oak elm ash fir yew bay box may".split()
+    items = [(n, " ".join(f"{rng.choice(vocabulary)}{rng.randint(0, 9)}" for _ in range(n))) for n in range(1, 31)] + [(50, None), (51, "...")]
+    docs = [(i, " ".join(f"{rng.choice(vocabulary)}{rng.randint(0, 9)}" for _ in range(80))) for i in range(20)]
+    for n in range(1, 31):
+        words = items[n - 1][1].split()
+        docs.append((100 + n, "xx " + ", ".join(words) + " yy"))
+        for k in (1, 2, 4):
+            cut = list(words)
+            for at in rng.sample(range(n), min(n, k)):
+                cut[at] = "other"
+            docs.append((100 * (k + 1) + n, " ".join(docs[rng.randrange(20)][1].split()[:20] + cut)))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain_leaks(docs, items)
+    assert {(r.doc_id, r.item_id): (r.score, r.equal_words) for r in got} == want
+    assert all((100 + n, n) in want for n in range(1, 31)) and (215, 15) in want
+
+
+def test_more_seeds_than_are_broadcast(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(3200)]
+    docs = [(i, f"start {items[i * 37][1]} end" if i % 2 else f"clean text {i} of w{i}x1 w{i}x2 words") for i in range(60)]
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert 3200 * (60 * 3 - 21) > 500_000 and {(r.doc_id, r.item_id, r.score) for r in got} == {(i, i * 37, 60) for i in range(1, 60, 2)}
+
+
 def test_mixing(spark):
     rng = random.Random(8)
     rows = [(i, text_of(rng, rng.randint(0, 60)), rng.choice("aaaabc") if i % 9 else None) for i in range(400)]

@@ -1,12 +1,16 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 The base kinds (email, ip, card, phone) follow fixed patterns and are always reported once their
-validator passes; further kinds (iban, ssn) are reported if their score reaches a threshold.
+validator passes; further kinds (iban, ssn, secret) are reported if their score reaches a threshold.
+Secrets are keys of known form and values that a name such as token or password is set to; these
+must be as random as keys are.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,7 +21,7 @@ from pyspark.sql.types import StructField, StructType
 from .common import ship_by_value
 
 #: Kinds in their order, and the patterns of the base ones.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE_KINDS = KINDS[:4]
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -26,6 +30,11 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+#: A key of known form, or a value of 16 characters and more that a telling name is set to.
+KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})(?![A-Za-z0-9])")
+PRIVATE = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,40}PRIVATE KEY-----)?")
+ASSIGNED = re.compile(r"(?i)(?:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|auth)[\"']?\x20{0,3}[:=]\x20{0,3}[\"']?([A-Za-z0-9_+/=.-]{16,})")
+RANDOM_BITS = 2.5
 DIGIT = re.compile(r"[0-9]")
 SPARE = re.compile(r"[^0-9]+")
 #: Words within WINDOW characters before a span that speak for its kind.
@@ -36,9 +45,10 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "konto"),
     "ssn": ("ssn", "social", "security"),
+    "secret": ("token", "secret", "key", "password", "auth"),
 }
 WINDOW, THRESHOLD = 40, 0.5
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3, "secret": 0.6}
 BONUS = 0.2
 SPANS = "array<struct<kind:string,start:int,end:int,score:double,base:boolean>>"
 
@@ -55,6 +65,24 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def as_random_as_a_key(value: str) -> bool:
+    """Whether a value has digits and letters and RANDOM_BITS of entropy a character."""
+    n = len(value)
+    bits = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
+    return bits >= RANDOM_BITS and any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Keys of known form, and assigned values that look random; none inside another."""
+    found = [m.span() for p in (KEY, PRIVATE) for m in p.finditer(text)]
+    found += [m.span(1) for m in ASSIGNED.finditer(text) if as_random_as_a_key(m[1])]
+    last = 0
+    for start, end in sorted(found, key=lambda s: (s[0], -s[1])):
+        if start >= last:
+            yield start, end
+            last = end
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches of ``[A-Za-z0-9._%+-]+@...``, found from the @ so that long runs cost once."""
     last = 0
@@ -75,6 +103,8 @@ def _octet(digits: str) -> bool:
 def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
     if "@" in text:
         yield from (("email", *m) for m in _emails(text))
+    if "PRIVATE KEY-----" in text or "AKIA" in text or DIGIT.search(text):
+        yield from (("secret", *m) for m in _secrets(text))
     if not DIGIT.search(text):
         return
     if "." in text:

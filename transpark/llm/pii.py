@@ -194,4 +194,33 @@ def op8_pii(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def _found_sql(place: int, pattern: str, valid: str, group: int = 0) -> str:
+    """Matches with their starts: what splitting leaves between them tells where they are."""
+    text = pattern.replace("'", "''")
+    start = "list_sum(list_transform(g[1:k], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0)::BIGINT"
+    return f"""SELECT doc_id, {place} place, '{KINDS[place]}' kind, s + length(whole) - length(w) s, w FROM (
+      SELECT doc_id, {start} s, m[k] whole, v[k] w FROM (
+        SELECT doc_id, m, v, g, unnest(range(1, len(m) + 1)) k FROM (
+          SELECT doc_id, regexp_extract_all(t, '{text}') m, regexp_extract_all(t, '{text}', {group}) v, string_split_regex(t, '{text}') g FROM d))) WHERE {valid}"""
+
+
+_DIGITS = "regexp_replace(w, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN ascii({_DIGITS}[-i]) - 48 ELSE (ascii({_DIGITS}[-i]) - 48) * 2 // 10 + (ascii({_DIGITS}[-i]) - 48) * 2 % 10 END)) % 10 = 0"
+_OCTETS = "list_bool_and(list_transform(string_split(w, '.'), lambda x: length(ltrim(x, '0')) < 4 AND coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) < 256))"
+#: States the base kinds and assigned secrets. IBANs, social security numbers and keys of known form
+#: (patterns that look around) are left to the tests; a table that has any differs in ``spans``.
+SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') t FROM documents),
+f AS (
+{_found_sql(0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+", "true")} UNION ALL
+{_found_sql(1, "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)", _OCTETS)} UNION ALL
+{_found_sql(2, "[0-9]([ -]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}")} UNION ALL
+{_found_sql(3, "[+][0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")} UNION ALL
+{_found_sql(6, ASSIGNED.pattern, f"list_entropy(string_split(w, '')) >= {RANDOM_BITS} AND regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Za-z]')", 1)}),
+l AS (SELECT *, kind || ':' || s || ':' || (s + length(w)) x FROM f)
+SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') n_{k}" for k in BASE_KINDS)},
+  sha256(coalesce(string_agg(x, ',' ORDER BY s, place) FILTER (place < 4), '')) base_sha256, coalesce(string_agg(x, ',' ORDER BY s, place), '') spans
+FROM d LEFT JOIN l USING (doc_id) GROUP BY doc_id
+"""
+
 ship_by_value(__name__)

@@ -27,8 +27,10 @@ def oracle_sql() -> dict:
     return {
         "op1_decontaminate": decontaminate.SQL,
         "op2_mixing": mixing.SQL,
+        "op3_lmscore": lmscore.SQL,
         "op5_warc": warc.SQL,
         "op6_neardup": neardup.SQL,
         "op7_urlfilter": urlfilter.SQL,
+        "op8_pii": pii.SQL,
         "op9_quality": quality.SQL,
     }

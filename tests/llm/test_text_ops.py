@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import unicodedata
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -102,10 +104,14 @@ def plain_leaks(docs, items):
     out = {}
     for i, t in docs:
         d = split(t)
+        places = {}
+        for a, w in enumerate(d):
+            places.setdefault(w, []).append(a)
         for k, u in items:
             v = [w for w in split(u) if w]
             masks = [m for m in decontaminate.MASKS if len(m) <= len(v)] or ["1" * len(v)] * bool(v)
-            for g in range(-len(v), len(d)):
+            aligned = Counter(a - b for b, w in enumerate(v) for a in places.get(w, ()))
+            for g in (g for g, n in aligned.items() if n >= min(5, len(v))):
                 same = [0 <= j + g < len(d) and d[j + g] == v[j] for j in range(len(v))]
                 if any(0 <= g + p and g + p + len(m) <= len(d) and all(same[p + o] for o, bit in enumerate(m) if bit == "1") for m in masks for p in range(len(v) - len(m) + 1)):
                     here = best = 0
@@ -169,6 +175,10 @@ def test_mixing(spark):
         assert abs(r.target - target[r.source]) < 1e-6 and r.source_size == own[r.source] and 0 <= r.taken <= 2 * r.size
         taken[r.source] = taken.get(r.source, 0) + r.taken
     assert all(abs(taken[s] - target[s]) <= 0.5 for s in own)
+    told = {str(r): r for r in got}
+    assert len(told) <= len(got) and sum(r.segments for r in got) == pieces.count() and all((r.first_slot is None) == (r.taken == 0) for r in got)
+    said = mixing.emit(docs, pieces).collect()
+    assert len(said) == pieces.count() and all(size(p.text) == p.to_word - p.from_word for p in said)
     parts = pieces.collect()
     assert sum(p.to_word - p.from_word for p in parts) == sum(taken.values())
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(5), block_words=16)[0].collect()))
@@ -253,33 +263,98 @@ def test_quality(spark):
     assert quality.ledger(docs.limit(0)).count() == 0 and quality.keep_good(docs.limit(0)).count() == 0
 
 
-def test_pipeline_stages(spark, tmp_path):
+def plain_quality(t):
+    """Whether the current policy keeps a text, counted word by word."""
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    times = Counter(windows)
+    again = {i + j for i, x in enumerate(windows) if times[x] > 1 for j in range(3)}
+    chars = sum(map(len, w))
+    upper = sum(unicodedata.category(c) == "Lu" for c in t)
+    symbols = sum(c in "#*$%&|<>" for c in t)
+    return not (len(w) < 50 or 2 * len(again) > len(w) or 10 * symbols > chars or chars > 25 * len(w) or chars < 2 * len(w) or 2 * upper > chars)
+
+
+def check_stages(spark, docs, sf, tmp_path):
+    """Each stage's rows against what brute force makes of its own input."""
     import corpus_pipeline as cp
 
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
     first = docs.columns
-    texts = {r.doc_id: r.text for r in docs.collect()}
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     for n, (name, stage) in enumerate(cp.STAGES):
-        before = {r.doc_id: r for r in docs.collect()}
+        before, docs_schema = docs.collect(), docs.schema
         stage(spark, docs, sf).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
-        after = {r.doc_id: r for r in docs.collect()}
-        assert set(after) <= set(before) and docs.count() == len(after)
+        after = docs.collect()
         if n < len(cp.STAGES) - 1:
             assert docs.columns == first
+        if name == "quality":
+            assert sorted(map(repr, after)) == sorted(repr(r) for r in before if plain_quality(r.text))
         if name == "neardup":
-            sets = {i: word_set(r.text, 5) for i, r in before.items()}
+            assert not set(map(repr, after)) - set(map(repr, before)) and len(after) == len(set(map(repr, after)))
+            sets = {repr(r): word_set(r.text, 5) for r in before}
             close = lambda a, b: sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
-            ids = sorted(after)
-            assert not any(close(a, b) for i, a in enumerate(ids) for b in ids[:i])
-            assert all(any(close(g, b) for b in before if b < g) for g in set(before) - set(after))
+            kept, all_rows = sorted(map(repr, after)), sorted(map(repr, before))
+            assert not any(close(a, b) for i, a in enumerate(kept) for b in kept[:i])
+            label = {r: r for r in set(all_rows)}
+            for i, a in enumerate(all_rows):
+                for b in all_rows[:i]:
+                    if label[a] != label[b] and close(a, b):
+                        old, new = label[a], label[b]
+                        label = {r: new if x == old else x for r, x in label.items()}
+            assert len({label[r] for r in all_rows}) == len(after) == len({label[r] for r in kept})
+        if name == "decontaminate":
+            leaky = {i for i, _ in plain_leaks([(i, r.text) for i, r in enumerate(before)], items)}
+            assert sorted(map(repr, after)) == sorted(repr(r) for i, r in enumerate(before) if i not in leaky)
         if name == "pii":
-            assert all(not plain_spans(r.text) and r.n_chars == len(r.text) for r in after.values())
-            assert all(after[i].text == texts[i] for i in after if not pii.find_spans(texts[i]))
+            rest = lambda r: {k: v for k, v in r.asDict().items() if k not in ("text", "n_chars")}
+            assert sorted(repr((rest(r), pii.redact_text(r.text))) for r in before) == sorted(repr((rest(r), r.text)) for r in after)
+            assert all(not plain_spans(r.text) and r.n_chars == len(r.text) for r in after)
         if name == "mixing":
-            assert all(r.taken > 0 for r in after.values())
-    assert cp.run(spark, sf).select(F.sum("taken")).first()[0] == sum(r.taken for r in after.values())
+            split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+            texts = {}
+            for r in before:
+                texts.setdefault((r.doc_id, r.source), []).append(split(r.text))
+            assert all(any(split(r.text) == w[r.from_word : r.to_word] for w in texts[r.doc_id, r.source]) for r in after)
+            taken = {}
+            for r in after:
+                taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.to_word - r.from_word
+            told = {}
+            for r in mixing.mix(spark.createDataFrame(before, docs_schema))[0].collect() if before else []:
+                told[r.doc_id, r.source] = told.get((r.doc_id, r.source), 0) + r.taken
+            assert taken == {k: v for k, v in told.items() if v}
+            slots = {}
+            for r in sorted(after, key=lambda r: (r.slot, r.offset)):
+                assert r.offset == slots.get(r.slot, 0)
+                slots[r.slot] = r.offset + r.to_word - r.from_word
+            assert all(v <= mixing.BLOCK_WORDS for v in slots.values())
+    return after
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    last = check_stages(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf, tmp_path)
+    assert sorted(map(repr, cp.run(spark, sf).collect())) == sorted(map(repr, last)) and len(last) > 100
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls in any column, repeated rows, ties, long texts, columns named like the operators' own."""
+    sf = "/root/testdata/sf0.001"
+    rng = random.Random(12)
+    own = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    good = [text_of(rng, 70) for _ in range(12)]
+    texts = [*good, good[0], good[0], good[1] + " more", own + " " + good[2], good[3] + " mail a@b.cd", text_of(rng, 30_000), None, "", "short", "é" * 100]
+    rows = [(i, t, rng.choice(["en", None]), rng.choice(["a", "b", None]), None if i % 5 == 0 else 7) for i, t in enumerate(texts)]
+    rows += [(None, t, None, None, None) for t in (good[4], good[5] + " one", text_of(rng, 80), None)] + [rows[6], rows[6], (6, text_of(rng, 90), "en", "a", 3)]
+    clash = ("hash", "fails", "kept", "row", "_row", "_other", "slot", "parts", "size", "bucket", "n_words", "component_id", "d_id")
+    docs = spark.createDataFrame([r + tuple(range(len(clash))) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in clash)).repartition(3)
+    (tmp_path / "full").mkdir()
+    check_stages(spark, docs, sf, tmp_path / "full")
+    (tmp_path / "none").mkdir()
+    assert check_stages(spark, docs.limit(0), sf, tmp_path / "none") == []
 
 
 def test_rows_of_one_id_have_their_own_fate(spark):

@@ -40,6 +40,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

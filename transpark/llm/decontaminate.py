@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_or_not
+from .common import cut, fresh, small_or_not
 
 #: 1 is a compared token, 0 an ignored one.
 MASKS = ("1101101", "11001011", "101100101")
@@ -171,9 +171,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
     Rows are told apart by id and text, so rows of an equal id, or without one, have their own fate.
     """
-    keyed = docs.withColumn("_row", F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text")))
-    leaks = cut(find_leaks(keyed, benchmark, "_row", text, **options).select(F.col("doc_id").alias("leak_row")).distinct())
-    return keyed.join(small_or_not(leaks), keyed["_row"].eqNullSafe(leaks["leak_row"]), "left_anti").drop("_row")
+    row, leak = fresh(docs, "_row"), fresh(docs, "_leak")
+    keyed = docs.withColumn(row, F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text")))
+    leaks = cut(find_leaks(keyed, benchmark, row, text, **options).select(F.col("doc_id").alias(leak)).distinct())
+    return keyed.join(small_or_not(leaks), F.col(row).eqNullSafe(F.col(leak)), "left_anti").drop(row)
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, hash_words, mix64, ship_by_value, small_or_not, word_lists
+from .common import cut, fresh, hash_words, mix64, ship_by_value, small_or_not, word_lists
 from .components import components, compose
 
 PERMUTATIONS, BAND = 90, 5
@@ -228,13 +228,14 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     least text hash.
     """
     # Rows are told apart by id and text; a null id counts as larger than all.
-    keyed = docs.withColumn("_row", F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(text, F.col(text).isNull()).alias("text")))
-    gone = cut(near_duplicates(keyed, "_row", text, **options).where("not kept").select(F.col("doc_id").alias("gone_row")).distinct())
-    left = keyed.join(small_or_not(gone), keyed["_row"].eqNullSafe(gone["gone_row"]), "left_anti").drop("_row")
-    again = cut(docs.groupBy(F.col(doc_id).alias("again_id")).count().where("count > 1"))
+    row, other = fresh(docs, "_row"), fresh(docs, "_other")
+    keyed = docs.withColumn(row, F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(text, F.col(text).isNull()).alias("text")))
+    gone = cut(near_duplicates(keyed, row, text, **options).where("not kept").select(F.col("doc_id").alias(other)).distinct())
+    left = keyed.join(small_or_not(gone), F.col(row).eqNullSafe(F.col(other)), "left_anti").drop(row)
+    again = cut(docs.groupBy(F.col(doc_id).alias(other)).count().where("count > 1").select(other))
     if again.isEmpty():
         return left
-    again, same = small_or_not(again), left[doc_id].eqNullSafe(again["again_id"])
+    again, same = small_or_not(again), F.col(doc_id).eqNullSafe(F.col(other))
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([doc_id, text]))
 
 

@@ -1,18 +1,17 @@
 """The corpus pipeline: documents pass through five stages, each written and read again.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all rows that the stage before it
-kept. All stages but the last return the columns of documents; the last returns the mix, one row
-for each document that it takes words from.
+kept. All stages but the last return the columns of documents; the last returns the mix: words of
+documents, to be read by slot and offset.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from transpark.llm.common import shared_path
 from transpark.llm.decontaminate import drop_leaks
-from transpark.llm.mixing import mix
+from transpark.llm.mixing import emit, mix
 from transpark.llm.neardup import drop_near_duplicates
 from transpark.llm.pii import redact
 from transpark.llm.quality import keep_good
@@ -39,8 +38,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words that the mix takes from each document; documents that it leaves out have no row."""
-    return mix(docs)[0].where(F.col("taken") > 0)
+    """The texts of the mix, a row for each piece of a document that a slot takes."""
+    return emit(docs, mix(docs)[1])
 
 
 STAGES = [("quality", quality), ("neardup", neardup), ("decontaminate", decontaminate), ("pii", pii), ("mixing", mixing)]

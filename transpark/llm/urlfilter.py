@@ -4,16 +4,18 @@ A host's canonical key is its labels in reverse, each followed by a dot, so a ru
 its subdomains are one interval of keys. Rule hosts and page hosts are sorted together; a sweep
 holds the stack of rules that is open at the latest rule host, which is nested because intervals
 of prefixes never cross. Of the stack, those count that still hold the page's key and whose path
-starts the page's; the longest decides. The sweep runs in parts of (top label, salt): rules are
-copied to the salts of their label, so a hot host is shared out.
+starts the page's; the longest decides. The sweep runs in parts of (top label, salt): a label has
+as many salts as its rows need, and rules are copied to those, so a hot host is shared out.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_or_not
+from .common import cut, small_or_not
 
 #: Production rules (verdict, host, path).
 RULES = (
@@ -23,7 +25,8 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-SALTS = 256
+#: Rows of a part: at least so many, and so many for each rule, of which each part has a copy.
+PART_ROWS, ROWS_PER_RULE = 64, 16
 DEFAULT = "allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,24 +59,32 @@ def rule_stacks(rules: DataFrame) -> DataFrame:
     return around.join(keyed, "key").groupBy(F.col("own").alias("key")).agg(F.sort_array(F.collect_list(one)).alias("stack"))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, salts: int = SALTS) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, part_rows: int | None = None) -> DataFrame:
     """The pages with host, path, rule and verdict added; rules: (verdict, host, path).
 
     A rule fits its host and all subdomains if the page's path starts with the rule's; the longest
     (host and path) wins, of repeated rules block before allow is not assumed: the least verdict.
     Without a rule, ``rule`` is null and the verdict is the default. A null url, or one without
     ://, has an empty host and path and gets the default. Every row stays, repeated ones too;
-    columns that are named like an added one are replaced.
+    columns that are named like an added one are replaced. Very long urls are judged whole. Rows
+    are carried with all their columns, so leave out those that aren't needed.
     """
     added = ("host", "path", "rule", "verdict")
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in added])
     probes = pages.select(row.alias("row"), url_host(F.col(url)).alias("p_host"), url_path(F.col(url)).alias("p_path"))
     probes = probes.withColumn("key", host_key(F.col("p_host")))
-    top = F.substring_index("key", ".", 1).alias("top")
-    probes = probes.select("row", "p_host", "p_path", "key", top, F.pmod(F.xxhash64("key", "p_path", F.monotonically_increasing_id()), F.lit(salts)).alias("salt"), F.lit(1).alias("turn"), F.lit(None).cast("array<struct<less:int,rule:string,key:string,path:string,verdict:string>>").alias("stack"))
-    marks = rule_stacks(rules).select(
-        F.lit(None).cast(probes.schema["row"].dataType).alias("row"), F.lit(None).cast("string").alias("p_host"), F.lit(None).cast("string").alias("p_path"), "key", top,
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"), F.lit(0).alias("turn"), "stack",
+    top = F.substring_index("key", ".", 1)
+    part_rows = part_rows or max(PART_ROWS, ROWS_PER_RULE * rules.count())
+    parts = probes.groupBy(top.alias("top")).agg(F.ceil(F.count("*") / part_rows).alias("salts")).where("salts > 1")
+    parts = small_or_not(cut(parts))
+    # A row's salt is its own hash: a task that runs again deals it alike.
+    told = [f.name for f in pages.schema if f.name not in added and not re.search(r"map<|variant", f.dataType.simpleString())]
+    own = F.xxhash64("key", "p_path", *[F.col(f"row.`{c}`") for c in told])
+    probes = probes.withColumn("top", top).join(parts, "top", "left")
+    probes = probes.select("row", "p_host", "p_path", "key", "top", F.pmod(own, F.coalesce("salts", F.lit(1)).cast("long")).alias("salt"), F.lit(1).alias("turn"), F.lit(None).cast("array<struct<less:int,rule:string,key:string,path:string,verdict:string>>").alias("stack"))
+    marks = rule_stacks(rules).withColumn("top", top).join(parts, "top", "left").select(
+        F.lit(None).cast(probes.schema["row"].dataType).alias("row"), F.lit(None).cast("string").alias("p_host"), F.lit(None).cast("string").alias("p_path"), "key", "top",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0)).cast("long"))).alias("salt"), F.lit(0).alias("turn"), "stack",
     )
     sweep = Window.partitionBy("top", "salt").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
     swept = probes.unionByName(marks).withColumn("open", F.last("stack", ignorenulls=True).over(sweep)).where("turn = 1")

@@ -232,5 +232,5 @@ def test_path_queries_have_no_lowered_limit(spark):
             walk(g, own, [n])
     long = {x for x in cycles if x[1].count(",") > 4}
     found = lambda name: {(r.graph_id, r.path) for r in catalog.queries()[name](spark, sf).collect()}
-    assert long and found("simple_cycles_whole") == cycles and found("hairpin_paths_whole") == hairpins
+    assert long and found("simple_cycles") == cycles and found("hairpin_paths") == hairpins
     assert any(path.count(",") > 4 for _, path in found("dfs_cycles"))

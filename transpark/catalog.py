@@ -256,7 +256,9 @@ def block_segmentation(spark, sf):
     return I.segment_pairs(li, ["l_suppkey"], "ord", 150, 100)
 
 
-@query("greedy_nonoverlap")
+@query("greedy_nonoverlap", f"""WITH f AS ({duck(FEATURES)}), z AS (SELECT user_id, r_type, unnest(list_reduce(list_prepend([], list([{{'start': start, 'event_id': event_id, 'end': "end"}}] ORDER BY start, event_id)),
+  lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: greatest(0, least(x[1]['end'], y['end']) - greatest(x[1]['start'], y['start']) + 1) / least(x[1]['end'] - x[1]['start'] + 1, y['end'] - y['start'] + 1) > 0.8)) > 0 THEN acc ELSE acc || x END)) AS k FROM f GROUP BY user_id, r_type)
+SELECT user_id, r_type, k['start'] AS start, k['event_id'] AS event_id, k['end'] AS "end" FROM z""")
 def greedy_nonoverlap(spark, sf):
     return I.greedy_filter(view(spark, sf, FEATURES).select("user_id", "r_type", "start", "event_id", "end"), ["user_id", "r_type"], ["start", "event_id"])
 
@@ -267,6 +269,13 @@ def histogram30(spark, sf):
     return I.histogram(table(spark, sf, "events"), "value")
 
 
+def in_order(name: str, group: str, item: str, kind: str) -> str:
+    """CTEs that go through ``items`` (group, item) in order and keep those that no kept one of
+    ``conflicts`` (group, later, earlier) is in the way of: name (group, kept)."""
+    return f"""{name}_l AS (SELECT i.{group}, i.{item}, list(c.earlier) FILTER (c.earlier IS NOT NULL) AS conf FROM items i LEFT JOIN conflicts c ON c.{group} = i.{group} AND c.later = i.{item} GROUP BY ALL),
+{name} AS (SELECT {group}, unnest(list_reduce(list_prepend([]::{kind}[], list(list_prepend({item}, coalesce(conf, [])) ORDER BY {item})), lambda acc, x: CASE WHEN list_has_any(acc, x[2:]) THEN acc ELSE list_append(acc, x[1]) END)) AS kept FROM {name}_l GROUP BY {group})"""
+
+
 # Sequences --------------------------------------------------------------------------------------
 
 
@@ -293,11 +302,19 @@ def kmer_containment_pairs(spark, sf):
     return N.containment_pairs(kept, K, "doc_id", least=50.0).withColumn("percent", F.round("percent", 6))
 
 
-@query("kmer_dedupe")
+DEDUPE_SQL = f""", items AS (SELECT 0 AS one, doc_id FROM c WHERE doc_id = f OR length(seq) < {K}), conflicts AS (SELECT 0 AS one, later, earlier FROM p WHERE shared * 100.0 / size >= 80), {in_order("kd", "one", "doc_id", "BIGINT")} SELECT kept AS doc_id FROM kd"""
+
+
+@query("kmer_dedupe", f"WITH {FIRST_SQL}{DEDUPE_SQL}")
 def kmer_dedupe(spark, sf):
     return N.kmer_dedupe(view(spark, sf, SEQS["spark"]), K, 80.0, "doc_id").select("doc_id")
 
 
+@query("kmer_dedupe_one_strand", f"WITH {FIRST_SQL.replace(f' UNION SELECT doc_id, {RC.format(s="k")} FROM a', '')}{DEDUPE_SQL}")
+def kmer_dedupe_one_strand(spark, sf):
+    return N.kmer_dedupe(view(spark, sf, SEQS["spark"]), K, 80.0, "doc_id", both_strands=False).select("doc_id")
+
+
 SIM_SQL = f"""WITH s AS ({SEQS['duck']}), b AS (SELECT item_id, upper(regexp_replace(lower(text), '[^acgt]', '', 'g')) AS q FROM benchmark), j AS (SELECT doc_id, item_id, seq, q, {RC.format(s='seq')} AS rc FROM s JOIN b ON doc_id % (SELECT count(*) FROM b) = item_id)
 """
 
@@ -372,7 +389,7 @@ def strand_doubled_edges(spark, sf):
     return _edges(spark, sf).select("graph_id", "src", "dst", "overlap")
 
 
-WALKS = "SELECT w.graph_id, path || [dst] AS path FROM w JOIN e ON e.graph_id = w.graph_id AND e.src = path[-1] AND NOT list_contains(path, dst) AND len(path) < 5"
+WALKS = "SELECT w.graph_id, path || [dst] AS path FROM w JOIN e ON e.graph_id = w.graph_id AND e.src = path[-1] AND NOT list_contains(path, dst) AND len(path) < 25"
 CYCLES_SQL = f"""WITH RECURSIVE {EDGES_SQL}, w AS (SELECT DISTINCT graph_id, [src] AS path FROM e UNION ALL {WALKS} AND dst > path[1]),
 y AS (SELECT DISTINCT w.graph_id, path FROM w JOIN e ON e.graph_id = w.graph_id AND e.src = path[-1] AND e.dst = path[1])
 """
@@ -380,35 +397,13 @@ y AS (SELECT DISTINCT w.graph_id, path FROM w JOIN e ON e.graph_id = w.graph_id
 
 @query("simple_cycles", CYCLES_SQL + "SELECT graph_id, array_to_string(path, ',') AS path FROM y")
 def simple_cycles(spark, sf):
-    return _cycles(spark, sf, 5)
-
+    return G.simple_cycles(_edges(spark, sf), ["graph_id"]).select("graph_id", F.array_join("path", ",").alias("path"))
 
-# The SQL of four queries holds paths of 5 nodes (hairpins 3) at most; the *_whole queries have the
-# operators' own limit and no SQL.
 
-
-def _cycles(spark, sf, *limit):
-    return G.simple_cycles(_edges(spark, sf), ["graph_id"], *limit).select("graph_id", F.array_join("path", ",").alias("path"))
-
-
-@query("simple_cycles_whole")
-def simple_cycles_whole(spark, sf):
-    return _cycles(spark, sf)
-
-
-@query("hairpin_paths", f"""WITH RECURSIVE {EDGES_SQL}, w AS (SELECT DISTINCT graph_id, [src] AS path FROM e UNION ALL {WALKS.replace('< 5', '< 3')})
+@query("hairpin_paths", f"""WITH RECURSIVE {EDGES_SQL}, w AS (SELECT DISTINCT graph_id, [src] AS path FROM e UNION ALL {WALKS})
 SELECT DISTINCT w.graph_id, array_to_string(path, ',') AS path FROM w JOIN e ON e.graph_id = w.graph_id AND e.src = path[-1] AND e.dst = {FLIP.format(c="path[1]")}""")
 def hairpin_paths(spark, sf):
-    return _hairpins(spark, sf, 3)
-
-
-def _hairpins(spark, sf, *limit):
-    return G.hairpin_paths(_edges(spark, sf), ["graph_id"], *limit).select("graph_id", F.array_join("path", ",").alias("path"))
-
-
-@query("hairpin_paths_whole")
-def hairpin_paths_whole(spark, sf):
-    return _hairpins(spark, sf)
+    return G.hairpin_paths(_edges(spark, sf), ["graph_id"]).select("graph_id", F.array_join("path", ",").alias("path"))
 
 
 @query("dfs_cycles")
@@ -432,41 +427,27 @@ ns AS (SELECT graph_id, node, CASE WHEN ends_with(node, '+') THEN p ELSE {RC.for
 q AS (SELECT s.graph_id, s.path, i, CASE WHEN b IS NULL THEN seq ELSE substr(seq, 1, greatest(0, length(seq) - (SELECT min(replace(overlap, 'M', '')::INT) FROM e WHERE e.graph_id = s.graph_id AND e.src = s.a AND e.dst = s.b))) END AS part FROM s JOIN ns ON ns.graph_id = s.graph_id AND ns.node = s.a)
 SELECT graph_id, array_to_string(path, ',') AS path, string_agg(part, '' ORDER BY i) AS sequence, len(path)::INT AS components FROM q GROUP BY graph_id, path HAVING sum(length(part)) BETWEEN 20 AND 100""")
 def path_sequence(spark, sf):
-    return _sequences(spark, sf, 5)
-
-
-@query("path_sequence_whole")
-def path_sequence_whole(spark, sf):
-    return _sequences(spark, sf)
-
-
-def _sequences(spark, sf, *limit):
     edges = _edges(spark, sf)
-    paths = G.simple_cycles(edges, ["graph_id"], *limit).withColumn("path_id", F.array_join("path", ","))
+    paths = G.simple_cycles(edges, ["graph_id"]).withColumn("path_id", F.array_join("path", ","))
     out = G.path_sequences(paths, _nodes(spark, sf), edges, ["graph_id"])
     return G.in_size(out, 20, 100, 1, 25).select("graph_id", F.col("path_id").alias("path"), "sequence", "components")
 
 
-@query("path_overlap_pairs", CYCLES_SQL + f""", {NODES_SQL}, x AS (SELECT graph_id, path, array_to_string(path, ',') AS id FROM y), p AS (SELECT graph_id, id, unnest(path) AS node FROM x), pl AS (SELECT p.*, regexp_replace(p.node, '[+-]$', '') AS contig, length(seq) AS n FROM p JOIN ns USING (graph_id, node)),
+OVERLAP_SQL = CYCLES_SQL + f""", {NODES_SQL}, x AS (SELECT graph_id, path, array_to_string(path, ',') AS id FROM y), p AS (SELECT graph_id, id, unnest(path) AS node FROM x), pl AS (SELECT p.*, regexp_replace(p.node, '[+-]$', '') AS contig, length(seq) AS n FROM p JOIN ns USING (graph_id, node)),
 t AS (SELECT graph_id, id, sum(n) AS total, list_sort(list(DISTINCT contig)) AS contigs FROM pl GROUP BY ALL),
-m AS (SELECT a.graph_id, a.id AS later, b.id AS earlier, sum(CASE WHEN a.node = b.node THEN a.n ELSE 0 END) AS shared FROM pl a JOIN pl b ON a.graph_id = b.graph_id AND a.contig = b.contig AND b.id < a.id GROUP BY ALL)
-SELECT m.graph_id, later, earlier, round(shared * 100.0 / greatest(a.total, b.total), 6) AS percent, a.contigs = b.contigs AS same_contigs FROM m JOIN t a ON a.graph_id = m.graph_id AND a.id = later JOIN t b ON b.graph_id = m.graph_id AND b.id = earlier""")
-def path_overlap_pairs(spark, sf):
-    return _overlaps(spark, sf, 5)
-
-
-@query("path_overlap_pairs_whole")
-def path_overlap_pairs_whole(spark, sf):
-    return _overlaps(spark, sf)
+m AS (SELECT a.graph_id, a.id AS later, b.id AS earlier, sum(CASE WHEN a.node = b.node THEN a.n ELSE 0 END) AS shared FROM pl a JOIN pl b ON a.graph_id = b.graph_id AND a.contig = b.contig AND b.id < a.id GROUP BY ALL),
+o AS (SELECT m.graph_id, later, earlier, shared * 100.0 / greatest(a.total, b.total) AS percent, a.contigs = b.contigs AS same_contigs FROM m JOIN t a ON a.graph_id = m.graph_id AND a.id = later JOIN t b ON b.graph_id = m.graph_id AND b.id = earlier)
+"""
 
 
-def _overlaps(spark, sf, *limit):
-    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"], *limit).withColumn("path_id", F.array_join("path", ","))
+@query("path_overlap_pairs", OVERLAP_SQL + "SELECT graph_id, later, earlier, round(percent, 6) AS percent, same_contigs FROM o")
+def path_overlap_pairs(spark, sf):
+    paths = G.simple_cycles(_edges(spark, sf), ["graph_id"]).withColumn("path_id", F.array_join("path", ","))
     nodes = _nodes(spark, sf).withColumn("len", F.length("seq"))
     return G.path_overlap(paths, nodes, ["graph_id"]).withColumn("percent", F.round("percent", 6))
 
 
-@query("path_dedupe")
+@query("path_dedupe", OVERLAP_SQL + f""", items AS (SELECT graph_id, id FROM x), conflicts AS (SELECT graph_id, later, earlier FROM o WHERE same_contigs OR percent > 70), {in_order("z", "graph_id", "id", "VARCHAR")} SELECT graph_id, kept AS path FROM z""")
 def path_dedupe(spark, sf):
     paths = G.simple_cycles(_edges(spark, sf), ["graph_id"]).withColumn("id", F.array_join("path", ","))
     # A path's order within all graphs: its graph, then its text.
@@ -652,14 +633,14 @@ def circular_wrap(spark, sf):
 # Merging and set operations ---------------------------------------------------------------------
 
 
-@query("final_left_merge", """WITH m AS (SELECT user_id AS cycle, user_id % 50 AS sample, count(*) AS blocks FROM events GROUP BY 1, 2), s AS (SELECT DISTINCT o_custkey % 50 AS sample FROM orders WHERE o_custkey % 50 < 40), f AS (SELECT o_orderkey AS cycle, o_custkey % 50 AS sample, o_totalprice AS score FROM orders)
+@query("final_left_merge", """WITH m AS (SELECT user_id AS cycle, user_id % 50 AS sample, count(*) AS blocks FROM events GROUP BY 1, 2), s AS (SELECT DISTINCT o_custkey % 50 AS sample FROM orders ), f AS (SELECT o_orderkey AS cycle, o_custkey % 50 AS sample, o_totalprice AS score FROM orders)
 SELECT m.sample, m.cycle, blocks, score FROM m SEMI JOIN s ON s.sample = m.sample LEFT JOIN f ON f.cycle = m.cycle AND f.sample = m.sample""")
 def final_left_merge(spark, sf):
     from transpark.plans.pipelines import merge_final
 
     mapping = view(spark, sf, "SELECT user_id AS cycle, user_id % 50 AS sample, count(*) AS blocks FROM {events} GROUP BY 1, 2")
     scores = view(spark, sf, "SELECT o_orderkey AS cycle, o_custkey % 50 AS sample, o_totalprice AS score FROM {orders}")
-    samples = view(spark, sf, "SELECT DISTINCT o_custkey % 50 AS sample FROM {orders} WHERE o_custkey % 50 < 40")
+    samples = view(spark, sf, "SELECT DISTINCT o_custkey % 50 AS sample FROM {orders}")
     return merge_final(mapping, scores, samples)
 
 

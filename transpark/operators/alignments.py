@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transpark.functions.sequences import cigar_ops, contig_kind, hard_clips
-from transpark.operators.intervals import merge_blocks
+from transpark.operators.intervals import depth_runs, merge_blocks, merge_intervals
 
 BLOCK = "struct<q_start:int,q_end:int,r_start:int,r_end:int>"
 
@@ -70,3 +70,27 @@ def close_alignments(alignments: DataFrame, identity: float = 0.9) -> DataFrame:
 def splittable(final: DataFrame, score: str = "score2", spans: str = "is_spans", least: float = 50.0) -> DataFrame:
     """Candidates with enough score and at least one element range."""
     return final.where(F.col(score).isNotNull() & ~F.isnan(score) & (F.col(score) >= least) & (F.coalesce(F.trim(spans), F.lit("")) != ""))
+
+
+def cycle_records(final: DataFrame, records: DataFrame, key: str = "cycle", **limits) -> DataFrame:
+    """Candidates fit to be split with the sequence of their record (key, seq); empty ones don't count."""
+    return splittable(final, **limits).join(records.where(F.length("seq") > 0).select(key, "seq"), key)
+
+
+def reads_by_contig(alignments: DataFrame) -> DataFrame:
+    """(ref, read, alignments, low, high): a contig's reads, a row each, with what they cover."""
+    return alignments.groupBy("ref", "read").agg(F.count("*").alias("alignments"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+
+
+def merged_alignments(spans: DataFrame, keys: list[str], start: str = "q_start", end: str = "q_end") -> DataFrame:
+    """The union of aligned spans per key; spans that start or end at 0 are left out first."""
+    return merge_intervals(spans.where((F.col(start) != 0) & (F.col(end) != 0)), keys, start, end)
+
+
+def coverage(spans: DataFrame, references: DataFrame, circular: DataFrame) -> DataFrame:
+    """(ref, circular, start, end, depth): runs of equal depth over half-open spans (ref, read, start,
+    end) cut at the reference's end, for all reads and for those in ``circular`` (read)."""
+    cut = spans.join(references.select("ref", "length"), "ref").withColumn("end", F.least("end", "length"))
+    marked = cut.join(circular.select("read").distinct().withColumn("is_circular", F.lit(True)), "read", "left")
+    each = marked.withColumn("circular", F.explode(F.when(F.col("is_circular"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    return depth_runs(each.select("ref", "circular", "start", "end"), ["ref", "circular"])

@@ -7,30 +7,71 @@ from pyspark.sql import functions as F
 
 from transpark.plans.ordering import number_rows
 
-# Names known by themselves, as group -> family -> names in lower case.
-FAMILIES = {
-    "IS1": {"IS1": "is1 is1a is1b", "ISSen": "issen issen1 issen2"},
-    "IS3": {"IS2": "is2", "IS3": "is3", "IS150": "is150 isapl2 isapl3", "IS407": "is407", "IS51": "is51", "IS679": "is679"},
-    "IS4": {"IS4": "is4", "IS10": "is10", "IS231": "is231", "IS1151": "is1151"},
-    "IS5": {"IS5": "is5", "IS427": "is427", "IS903": "is903", "IS1031": "is1031"},
-    "IS6": {"IS6": "is6", "IS15": "is15", "IS26": "is26", "IS257": "is257", "IS1936": "is1936"},
-    "IS21": {"IS21": "is21", "IS408": "is408"},
-    "IS30": {"IS30": "is30", "IS1655": "is1655", "ISApl1": "isapl1"},
-    "IS66": {"IS66": "is66", "IS1133": "is1133"},
-    "IS91": {"IS91": "is91", "ISCR": "iscr iscr1 iscr2 iscr3"},
-    "IS110": {"IS110": "is110", "IS492": "is492"},
-    "IS200/IS605": {"IS200": "is200", "IS605": "is605", "IS608": "is608"},
-    "IS256": {"IS256": "is256", "IS1294": "is1294", "IS1301": "is1301"},
-    "IS481": {"IS481": "is481"},
-    "IS630": {"IS630": "is630", "IS869": "is869"},
-    "IS701": {"IS701": "is701"},
-    "IS982": {"IS982": "is982"},
-    "IS1111": {"IS1111": "is1111"},
-    "IS1380": {"IS1380": "is1380", "ISEcp": "isecp isecp1 isecp1b"},
-    "IS1595": {"IS1595": "is1595", "ISNcy": "isncy"},
-    "ISAs1": {"ISAs1": "isas1 is3000"},
-    "Composite": {"Composite": "tn"},
-}
+# Names known by themselves: (name, group, family).
+FAMILIES = [
+    ("is1", "IS1", "IS1"),
+    ("is1a", "IS1", "IS1"),
+    ("is1b", "IS1", "IS1"),
+    ("issen", "IS1", "ISSen"),
+    ("issen1", "IS1", "ISSen"),
+    ("issen2", "IS1", "ISSen"),
+    ("is2", "IS3", "IS2"),
+    ("is3", "IS3", "IS3"),
+    ("is150", "IS3", "IS150"),
+    ("isapl2", "IS3", "IS150"),
+    ("isapl3", "IS3", "IS150"),
+    ("is407", "IS3", "IS407"),
+    ("is51", "IS3", "IS51"),
+    ("is679", "IS3", "IS679"),
+    ("is4", "IS4", "IS4"),
+    ("is10", "IS4", "IS10"),
+    ("is231", "IS4", "IS231"),
+    ("is1151", "IS4", "IS1151"),
+    ("is5", "IS5", "IS5"),
+    ("is427", "IS5", "IS427"),
+    ("is903", "IS5", "IS903"),
+    ("is1031", "IS5", "IS1031"),
+    ("is6", "IS6", "IS6"),
+    ("is15", "IS6", "IS15"),
+    ("is26", "IS6", "IS26"),
+    ("is257", "IS6", "IS257"),
+    ("is1936", "IS6", "IS1936"),
+    ("is21", "IS21", "IS21"),
+    ("is408", "IS21", "IS408"),
+    ("is30", "IS30", "IS30"),
+    ("is1655", "IS30", "IS1655"),
+    ("isapl1", "IS30", "ISApl1"),
+    ("is66", "IS66", "IS66"),
+    ("is1133", "IS66", "IS1133"),
+    ("is91", "IS91", "IS91"),
+    ("iscr", "IS91", "ISCR"),
+    ("iscr1", "IS91", "ISCR"),
+    ("iscr2", "IS91", "ISCR"),
+    ("iscr3", "IS91", "ISCR"),
+    ("is110", "IS110", "IS110"),
+    ("is492", "IS110", "IS492"),
+    ("is200", "IS200/IS605", "IS200"),
+    ("is605", "IS200/IS605", "IS605"),
+    ("is608", "IS200/IS605", "IS608"),
+    ("is256", "IS256", "IS256"),
+    ("is1294", "IS256", "IS1294"),
+    ("is1301", "IS256", "IS1301"),
+    ("is481", "IS481", "IS481"),
+    ("is630", "IS630", "IS630"),
+    ("is869", "IS630", "IS869"),
+    ("is701", "IS701", "IS701"),
+    ("is982", "IS982", "IS982"),
+    ("is1111", "IS1111", "IS1111"),
+    ("is1380", "IS1380", "IS1380"),
+    ("isecp", "IS1380", "ISEcp"),
+    ("isecp1", "IS1380", "ISEcp"),
+    ("isecp1b", "IS1380", "ISEcp"),
+    ("is1595", "IS1595", "IS1595"),
+    ("isncy", "IS1595", "ISNcy"),
+    ("isas1", "ISAs1", "ISAs1"),
+    ("is3000", "ISAs1", "ISAs1"),
+    ("tn", "Composite", "Composite"),
+]
 # Prefixes of series, tried longest first: (prefix, group, family).
 SERIES = [
     ("IS26", "IS6", "IS26"), ("IS10", "IS4", "IS10"), ("IS21", "IS21", "IS21"), ("IS30", "IS30", "IS30"), ("IS66", "IS66", "IS66"),
@@ -68,7 +109,7 @@ CLASSES = [
     (r"\bcps\w*|cfi\w*\b", "Cephalosporin"),
 ]
 SOURCES = ("ISFinder_", "ISFDB_", "TNcentral_")
-KNOWN = {name: (group, family) for group, families in FAMILIES.items() for family, names in families.items() for name in names.split()}
+KNOWN = {name: (group, family) for name, group, family in FAMILIES}
 
 
 def _pair(group: str | Column, family: str | Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from transpark.operators import hits as H
 from transpark.operators.components import cluster_tags, connected_components
 from transpark.operators.enrich import element_family, expand_classes, tag_candidates
 from transpark.operators.intervals import without_overlap
-from transpark.operators.similarity import kmer_dedupe
+from transpark.operators.similarity import containment_pairs, kmer_dedupe
 from transpark.plans.config import Options
 from transpark.plans.ordering import number_rows
 from transpark.plans.storage import materialise
@@ -111,3 +113,20 @@ def in_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
 def molecule(records: DataFrame) -> DataFrame:
     """(file, protein): whether any record of a file has characters that DNA has not."""
     return records.groupBy("file").agg(F.max(is_protein(F.col("seq"))).alias("protein"))
+
+
+def concatenated(*frames: DataFrame) -> DataFrame:
+    """All rows of frames whose columns may differ; missing ones are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def in_category_order(frames: dict[str, DataFrame], order: list[str]) -> DataFrame:
+    """All rows with ``category`` (a frame's name) and ``nth``, their place by category in the order
+    of the frames, then by ``order``."""
+    parts = [f.withColumn("category", F.lit(name)).withColumn("turn_", F.lit(i)) for i, (name, f) in enumerate(frames.items())]
+    return number_rows(concatenated(*parts), ["turn_", *order], "nth").drop("turn_")
+
+
+def kmer_links(seqs: DataFrame, k: int, percent: float, order: str = "ord", seq: str = "seq") -> DataFrame:
+    """(src, dst) of sequences that share enough k-mers, for clusters without an alignment table."""
+    return containment_pairs(seqs, k, order, seq, least=percent).select(F.col("later").alias("src"), F.col("earlier").alias("dst"))

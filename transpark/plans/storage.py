@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use ``spark.checkpoint.dir``; else the warehouse on a cluster, a temporary folder locally."""
     sc = spark.sparkContext

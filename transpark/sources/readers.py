@@ -100,22 +100,34 @@ def mapped(alignments: DataFrame, primary_only: bool = False) -> DataFrame:
     return alignments.where(F.col("flag").bitwiseAND(F.lit(bits)) == 0)
 
 
+def _carried(rows: DataFrame, value: Column, also: Column) -> DataFrame:
+    """rows with ``last``, the last non-null value up to a line of its file, and ``before``, the sum
+    of ``also`` over the lines before it: within blocks of the file, and between these."""
+    rows = rows.withColumn("v_", value).withColumn("a_", also)
+    ends = rows.groupBy("file", "nth.block").agg(F.max_by("v_", F.when(F.col("v_").isNotNull(), F.col("nth"))).alias("e_"), F.sum("a_").alias("s_"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(F.col("file").alias("f_"), F.col("block").alias("b_"), F.last("e_", ignorenulls=True).over(earlier).alias("e_"), F.coalesce(F.sum("s_").over(earlier), F.lit(0)).alias("s_"))
+    within = Window.partitionBy("file", "nth.block").orderBy("nth")
+    own = rows.withColumn("last", F.last("v_", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.coalesce(F.sum("a_").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own = own.join(ends, (F.col("file") == F.col("f_")) & (F.col("nth.block") == F.col("b_")))
+    return own.withColumn("last", F.coalesce("last", "e_")).withColumn("before", F.col("before") + F.col("s_")).drop("v_", "a_", "e_", "s_", "f_", "b_")
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """(id, seq, quality, length): four lines a record, numbered per file."""
-    rows = lines(spark, path)
-    n = F.row_number().over(Window.partitionBy("file").orderBy("nth")) - 1
-    quad = rows.withColumn("n", n).groupBy("file", F.floor(F.col("n") / 4).alias("rec")).agg(*[F.max(F.when(F.col("n") % 4 == i, F.col("value"))).alias(c) for i, c in ((0, "head"), (1, "seq"), (3, "quality"))])
+    rows = _carried(lines(spark, path), F.lit(None).cast("string"), F.lit(1)).withColumn("n", F.col("before"))
+    quad = rows.groupBy("file", F.floor(F.col("n") / 4).alias("rec")).agg(*[F.max(F.when(F.col("n") % 4 == i, F.col("value"))).alias(c) for i, c in ((0, "head"), (1, "seq"), (3, "quality"))])
     return quad.where(F.col("head").startswith("@")).select(F.split(F.expr("substr(head, 2)"), r"\s+")[0].alias("id"), "seq", "quality", F.length("seq").alias("length"))
 
 
 def read_annotated_blocks(spark: SparkSession, path: str) -> DataFrame:
     """(file, read, annot, q_start, q_end, read_len) of annotated-read files: '>read' lines carry
     forward; lines without transposon or cargo are dropped."""
-    rows = lines(spark, path)
-    head = F.last(F.when(F.col("value").startswith(">"), F.trim(F.expr("substr(value, 2)"))), ignorenulls=True).over(Window.partitionBy("file").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0))
+    head = F.when(F.col("value").startswith(">"), F.trim(F.expr("substr(value, 2)")))
+    rows = _carried(lines(spark, path), head, F.lit(0)).withColumnRenamed("last", "read")
     pattern = r"\((transposon|cargo)\).*Read\s+(\d+)-(\d+)\s*\|\s*ReadLen=(\d+)"
     take = lambda i: F.regexp_extract("value", pattern, i)
-    return rows.withColumn("read", head).where(F.col("value").rlike(pattern) & F.col("read").isNotNull()).select("file", "nth", "read", take(1).alias("annot"), take(2).cast("int").alias("q_start"), take(3).cast("int").alias("q_end"), take(4).cast("int").alias("read_len"))
+    return rows.where(F.col("value").rlike(pattern) & F.col("read").isNotNull()).select("file", "nth", "read", take(1).alias("annot"), take(2).cast("int").alias("q_start"), take(3).cast("int").alias("q_end"), take(4).cast("int").alias("read_len"))
 
 
 def read_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -186,6 +198,7 @@ def contigs_to_gfa(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode(F.concat(F.array(F.concat_ws("\t", F.lit("S"), "contig", "seq")), links)).alias("value"))
 
 
-def discover(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """(path, size) of files below a folder that match a glob."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", F.col("length").alias("size"))
+def discover(spark: SparkSession, path: str, pattern: str, least_size: int = 0) -> DataFrame:
+    """(path, size) of files below a folder that match a glob and have ``least_size`` bytes."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", F.col("length").alias("size"))
+    return found.where(F.col("size") >= least_size)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transpark.plans.storage import materialise
+
 #: Columns of the short summary of an enriched table.
 SUMMARY = ("ct_tag", "SampleID", "CycleID", "category", "length", "is_group", "is_family", "class", "gene", "score0", "score1", "score2")
 
@@ -32,6 +34,10 @@ def write_split_fasta(df: DataFrame, path: str, key: str, header: Column, seq: C
 
 def write_table(df: DataFrame, path: str, sep: str = "\t", mode: str = "error") -> int:
     """A table with a header; nothing is written without rows. Returns the number of rows."""
+    return _written(materialise(df), path, sep, mode)
+
+
+def _written(df: DataFrame, path: str, sep: str, mode: str = "error") -> int:
     rows = df.count()
     if rows:
         df.write.mode(mode).csv(path, sep=sep, header=True)
@@ -40,7 +46,8 @@ def write_table(df: DataFrame, path: str, sep: str = "\t", mode: str = "error")
 
 def write_enriched(df: DataFrame, path: str, tag: str = "ct_tag") -> int:
     """The enriched table as CSV; returns the number of distinct candidates."""
-    if write_table(df, path, ","):
+    df = materialise(df)
+    if _written(df, path, ","):
         return df.select(tag).distinct().count()
     return 0
 
@@ -90,8 +97,14 @@ def merged_fasta(records: DataFrame) -> DataFrame:
     return records.select(name.alias("header"), "seq")
 
 
-def summary_lines(counts: DataFrame) -> DataFrame:
-    """Text lines of pattern counts (run, pattern, n): per run and in total (run null)."""
+def summary_lines(counts: DataFrame, insertions: DataFrame | None = None) -> DataFrame:
+    """Text lines of pattern counts (run, pattern, n): per run and in total (run null); and of
+    insertions (read, event, n), a line for each read."""
     who = F.coalesce(F.concat(F.col("run"), F.lit(":")), F.lit("TOTAL:"))
     packed = counts.groupBy(who.alias("who")).agg(F.sort_array(F.collect_list(F.struct("pattern", "n"))).alias("c"))
-    return packed.select(F.concat("who", F.lit(" "), F.array_join(F.transform("c", lambda x: F.concat_ws("=", x["pattern"], x["n"].cast("string"))), ", ")).alias("value"))
+    listed = lambda name: F.array_join(F.transform("c", lambda x: F.concat_ws("=", x[name], x["n"].cast("string"))), ", ")
+    out = packed.select(F.concat("who", F.lit(" "), listed("pattern")).alias("value"))
+    if insertions is None:
+        return out
+    own = insertions.groupBy("read").agg(F.sort_array(F.collect_list(F.struct("event", "n"))).alias("c"))
+    return out.unionByName(own.select(F.concat(F.lit("INSERTION "), F.col("read").cast("string"), F.lit(": "), listed("event")).alias("value")))

@@ -78,11 +78,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _all() -> None:
+    """Register the queries of the other module too; it needs this one's helpers."""
+    import transpark.catalog_io  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)
 
 

@@ -21,6 +21,7 @@ from transpark.operators import hits as H
 from transpark.operators import intervals as I
 from transpark.operators import reads as R
 from transpark.operators import similarity as N
+from transpark.plans.storage import materialise
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark")
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -477,7 +478,7 @@ q AS (SELECT c.graph_id, count(*) AS contigs, (SELECT count(*) FROM f WHERE f.gr
 s AS (SELECT *, links / (contigs * (dead_ends + 1.0) * (dead_ends + 1.0)) AS score FROM q)
 SELECT graph_id, contigs, links, dead_ends, round(score, 8) AS score, round((score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()), 8) AS relative FROM s""")
 def graph_quality(spark, sf):
-    edges = _edges(spark, sf)
+    edges = materialise(_edges(spark, sf).select("graph_id", "src", "dst", "turn"))
     segments = edges.select("graph_id", F.explode(F.array("src", "dst")).alias("n")).select("graph_id", S.strip_sign(F.col("n")).alias("contig")).distinct()
     out = G.graph_quality(segments, edges, ["graph_id"])
     return out.withColumn("score", F.round("score", 8)).withColumn("relative", F.round("relative", 8))

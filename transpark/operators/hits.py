@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transpark.functions.sequences import protein_span, stranded
-from transpark.operators.intervals import covered_length
+from transpark.operators.intervals import islands
 
 
 def good_hits(hits: DataFrame, identity: float = 80.0, evalue: float = 1e10) -> DataFrame:
@@ -36,11 +36,14 @@ def merged_subjects(hits: DataFrame, keys: list[str], order: list[str], threshol
     Ties go to the lesser (query, subject); the strand is always 1.
     """
     pair = [*keys, "qseqid", "sseqid"]
-    kept = good_hits(hits, identity, evalue)
-    spans = kept.select(*pair, F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
-    head = F.min_by("slen", F.struct(*order)).alias("slen")
-    stats = kept.groupBy(*pair).agg(head, F.avg("pident").alias("mean_identity"), F.min(F.least("qstart", "qend")).alias("start"), F.max(F.greatest("qstart", "qend")).alias("end"))
-    scored = stats.join(covered_length(spans, pair), pair).withColumn("score", F.col("covered") / F.col("slen") * F.col("mean_identity")).where(F.col("score") > threshold)
+    kept = good_hits(hits, identity, evalue).withColumns({"start": F.least("sstart", "send"), "end": F.greatest("sstart", "send")})
+    # One shuffle by pair: islands, what is told of each, and of all of a pair.
+    each = islands(kept, pair, "start", "end").groupBy(*pair, "island").agg(
+        (F.max("end") - F.min("start") + 1).alias("bases"), F.min(F.struct(*order, "slen")).alias("head"), F.sum("pident").alias("idents"), F.count("*").alias("n"),
+        F.min(F.least("qstart", "qend")).alias("start"), F.max(F.greatest("qstart", "qend")).alias("end"),
+    )
+    stats = each.groupBy(*pair).agg(F.sum("bases").alias("covered"), F.min("head")["slen"].alias("slen"), (F.sum("idents") / F.sum("n")).alias("mean_identity"), F.min("start").alias("start"), F.max("end").alias("end"))
+    scored = stats.withColumn("score", F.col("covered") / F.col("slen") * F.col("mean_identity")).where(F.col("score") > threshold)
     best = F.min(F.struct((-F.col("score")).alias("less"), "qseqid", "sseqid", "score", "covered", "start", "end")).alias("b")
     return scored.groupBy(*keys).agg(best).select(*keys, "b.qseqid", "b.sseqid", "b.score", "b.covered", "b.start", "b.end", F.lit(1).alias("strand"))
 

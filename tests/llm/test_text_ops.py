@@ -258,6 +258,8 @@ def test_quality(spark):
     assert by[2].fails & quality.BIT["few_words"] and by[5].fails == quality.BIT["symbols"]
     table = {r.rule: (r.failing, r.rescued) for r in quality.ablations(led).collect()}
     assert table["symbols"] == (1, 1) and table["few_words"][0] == 2
+    alone = led.select("doc_id", quality.sole_rule("2024-1").alias("rule")).where("rule is not null").groupBy("rule").count().collect()
+    assert {r.rule: r["count"] for r in alone} == {r.rule: r.rescued for r in quality.ablations(led, "2024-1").collect() if r.rescued}
     good_rows = quality.keep_good(docs)
     assert good_rows.columns == docs.columns and sorted(str(r.doc_id) for r in good_rows.collect()) == kept
     assert quality.ledger(docs.limit(0)).count() == 0 and quality.keep_good(docs.limit(0)).count() == 0

@@ -109,6 +109,12 @@ def apply_policy(entries: DataFrame, policy: str = POLICY) -> DataFrame:
     return entries.withColumn("kept", F.col("fails").bitwiseAND(F.lit(POLICIES[policy]).cast("long")) == 0)
 
 
+def sole_rule(policy: str = POLICY) -> Column:
+    """The only rule of a policy that a document fails, without which it would be kept; else null."""
+    held = F.col("fails").bitwiseAND(F.lit(POLICIES[policy]).cast("long"))
+    return F.coalesce(*[F.when(held == BIT[n], n) for n in RULES if BIT[n] & POLICIES[policy]])
+
+
 def ablations(entries: DataFrame, policy: str = POLICY) -> DataFrame:
     """What each rule of a policy rejects: rule, failing, and rescued (kept if that rule were gone)."""
     mask = POLICIES[policy]
@@ -143,7 +149,7 @@ def op9_quality(spark, sf_dir: str) -> DataFrame:
     """The quality ledger of the documents under the current policy."""
     judged = apply_policy(ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     failed = F.col("fails").bitwiseAND(F.lit(BASE).cast("long")) != 0
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "fails")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "fails", sole_rule().alias("sole_rule"))
 
 
 W = r"'[^\x20\x09-\x0D]+'"
@@ -155,7 +161,8 @@ r AS (SELECT doc_id, count(DISTINCT i + j) n FROM g, range(0, 3) o(j) WHERE g.n
 m AS (SELECT w.doc_id, len(w)::BIGINT n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT n_symbols,
   len(l)::BIGINT n_lines, (len(l) - len(list_distinct(l)))::BIGINT n_dup_lines, coalesce(r.n, 0)::BIGINT n_repeat_words, length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g'))::BIGINT n_upper FROM w LEFT JOIN r USING (doc_id)),
 f AS (SELECT *, {" + ".join(f"(CASE WHEN {c} THEN {1 << i} ELSE 0 END)" for i, c in enumerate(RULES.values()))} f FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f & {BASE}) <> 0 base_failed, (f & {POLICIES[POLICY] | BASE}) = 0 kept, f::BIGINT fails FROM f
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f & {BASE}) <> 0 base_failed, (f & {POLICIES[POLICY] | BASE}) = 0 kept, f::BIGINT fails,
+  CASE f & {POLICIES[POLICY]} {" ".join(f"WHEN {BIT[n]} THEN '{n}'" for n in RULES if BIT[n] & POLICIES[POLICY])} END sole_rule FROM f
 """
 
 ship_by_value(__name__)

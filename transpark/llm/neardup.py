@@ -182,6 +182,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for turn in range(TURNS + 1):
         # Buckets whose members are connected already have nothing more to tell.
         open_bands = active.groupBy("band").agg(F.max(F.struct("reach", "node", "n", "label")).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        # Counted, so that while they are few the members stay where they are and a hot bucket is many tasks'.
+        open_bands = small_or_not(cut(open_bands))
         if turn < TURNS:
             led = active.join(open_bands.select("band", F.col("lead.node").alias("l_node"), F.col("lead.n").alias("l_n"), F.col("lead.label").alias("l_label")), "band")
             led = cut(led.where("node <> l_node"))

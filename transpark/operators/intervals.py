@@ -92,8 +92,10 @@ def greedy_filter(features: DataFrame, keys: list[str], order: list[str], ratio:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
-    """(bin, low, n) of equal-width bins between the least and the largest value; data for plots."""
-    edges = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
-    placed = df.select(F.col(value).cast("double").alias("v")).join(F.broadcast(edges), F.col("v").between(F.col("lo"), F.col("hi")))
+    """(bin, n) of equal-width bins between the least and the largest value; data for plots. Null
+    and NaN values are in no bin; the two bounds are scalar subqueries."""
+    v = df.select(F.col(value).cast("double").alias("v")).where(~F.isnan("v"))
+    bounds = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    placed = v.withColumns({"lo": bounds.select("lo").scalar(), "hi": bounds.select("hi").scalar()})
     nth = F.least(F.lit(bins - 1), F.floor(F.coalesce(F.try_divide((F.col("v") - F.col("lo")) * bins, F.col("hi") - F.col("lo")), F.lit(0.0))))
     return placed.groupBy(nth.cast("long").alias("bin")).agg(F.count("*").alias("n"))

@@ -1,6 +1,7 @@
 """Readers, sinks and composed plans on small files."""
 
 import gzip
+import struct
 
 from pyspark.sql import functions as F
 
@@ -70,6 +71,30 @@ def test_tables(spark, tmp_path):
     assert R.read_table(spark, tax).columns == ["name", "group", "family"]
 
 
+def test_binary_alignments(spark, tmp_path):
+    """The binary form of alignments gives what their text does."""
+    refs = [("ref0", 500), ("ref1", 90)]
+    rows = [("r1", 0, 0, 6, 60, [(5, 0)], "ACGTA", "ref0,9,+,5M,60,0;"), ("r2", 4, -1, -1, 0, [], "", ""), ("r3", 2048, 1, 0, 1, [(2, 5), (3, 0), (1, 1)], "ACGT", "ref1,1,-,4M,1,0;")]
+    out = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(refs))
+    for name, length in refs:
+        out += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", length)
+    for name, flag, ref, pos, mapq, ops, seq, sa in rows:
+        packed = bytes((len(seq) + 1) // 2) + b"\xff" * len(seq)
+        tags = b"NMi" + struct.pack("<i", 3) + b"XBBs" + struct.pack("<ihh", 2, 1, 2) + (b"SAZ" + sa.encode() + b"\0" if sa else b"") + b"ASc\1"
+        body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(ops), flag, len(seq), -1, -1, 0) + name.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | op) for n, op in ops) + packed + tags
+        out += struct.pack("<i", len(body)) + body
+    (tmp_path / "x.bam").write_bytes(b"".join(gzip.compress(out[i : i + 50]) for i in range(0, len(out), 50)))
+    text = "".join(f"@SQ\tSN:{n}\tLN:{length}\n" for n, length in refs)
+    for name, flag, ref, pos, mapq, ops, seq, sa in rows:
+        cigar = "".join(f"{n}{'MIDNSHP=X'[op]}" for n, op in ops) or "*"
+        text += "\t".join([name, str(flag), refs[ref][0] if ref >= 0 else "*", str(pos + 1), str(mapq), cigar, "*", "0", "0", seq or "*", "*", *([f"SA:Z:{sa}"] if sa else [])]) + "\n"
+    plain, plain_refs = R.read_sam(spark, put(tmp_path / "sam" / "x.sam", text))
+    binary, binary_refs = R.read_bam(spark, str(tmp_path / "x.bam"))
+    assert sorted(map(tuple, binary.collect())) == sorted(map(tuple, plain.drop("nth").collect()))
+    assert sorted(map(tuple, binary_refs.collect())) == sorted(map(tuple, plain_refs.collect()))
+    assert R.read_bam(spark, str(tmp_path / "x.bam"), "ref1")[0].count() == 1
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("c1", "ACGT", 4, 2)], "name string, seq string, length int, components int")
     K.write_fasta(rows, str(tmp_path / "f"), K.cycle_header(F.col("name"), F.col("length"), F.col("components")), F.col("seq"))

@@ -156,6 +156,9 @@ def test_graph_random(spark):
     found = G.dfs_cycles(numbered, ["g"], 8).collect()
     spin = lambda p: tuple(p[p.index(min(p)) :] + p[: p.index(min(p))])
     assert found and all((r.g, spin(r.path)) in cycles for r in found if not r.hairpin and len(r.path) <= 4)
+    again = G.dfs_cycles(numbered, ["g"], 8, repeat_pairs=True).collect()
+    assert len(again) >= len(found) and {tuple(r.path) for r in again} == {tuple(r.path) for r in found}
+    assert {tuple(r.path) for r in G.dfs_cycles(numbered, ["g"], 8, one_back_edge=True).collect()} <= {tuple(r.path) for r in found}
     single = G.dfs_cycles(numbered, ["g"], 8, all_paths=False).collect()
     assert {(r.g, tuple(r.path)) for r in single} <= {(r.g, tuple(r.path)) for r in found}
 

@@ -172,6 +172,12 @@ def circular_coverage(spark, sf):
     return A.coverage(spans, refs, spans.where(F.expr("CAST(substr(read, 2) AS BIGINT) % 7 = 0")).select("read"))
 
 
+@query("polar_arcs", f"SELECT ref, read, start, \"end\", round(start * 2 * pi() / 400, 6) AS from_angle, round(\"end\" * 2 * pi() / 400, 6) AS to_angle FROM ({duck(SPANS)})")
+def polar_arcs(spark, sf):
+    arcs = R.polar_arcs(view(spark, sf, SPANS), 400)
+    return arcs.withColumns({c: F.round(c, 6) for c in ("from_angle", "to_angle")})
+
+
 @query("merged_alignments", f"""WITH s AS (SELECT ref, start, "end" FROM ({duck(SPANS)}) WHERE start % 5 > 0), k AS (SELECT *, CASE WHEN start > max("end") OVER w OR max("end") OVER w IS NULL THEN 1 ELSE 0 END AS f FROM s WINDOW w AS (PARTITION BY ref ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 i AS (SELECT *, sum(f) OVER (PARTITION BY ref ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS g FROM k) SELECT ref, min(start) AS q_start, max("end") AS q_end FROM i GROUP BY ref, g""")
 def merged_alignments(spark, sf):

@@ -182,8 +182,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for turn in range(TURNS + 1):
         # Buckets whose members are connected already have nothing more to tell.
         open_bands = active.groupBy("band").agg(F.max(F.struct("reach", "node", "n", "label")).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        # Counted, so that while they are few the members stay where they are and a hot bucket is many tasks'.
-        open_bands = small_or_not(cut(open_bands))
+        # Cut, so that both sides of the join are plain exchanges: Spark then splits a hot bucket.
+        open_bands = cut(open_bands)
         if turn < TURNS:
             led = active.join(open_bands.select("band", F.col("lead.node").alias("l_node"), F.col("lead.n").alias("l_n"), F.col("lead.label").alias("l_label")), "band")
             led = cut(led.where("node <> l_node"))
@@ -212,9 +212,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             active = cut(active.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
 
     if labels is not None:
-        first = first.join(labels, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))
-        groups = first.groupBy("label").agg(F.min("first_id").alias("component_id"))
-        first = first.join(groups, "label").select("node", "component_id")
+        # Only linked nodes meet their component, of which there is one row: a large one is split as well.
+        linked = cut(first.join(labels, "node"))
+        groups = cut(linked.groupBy("label").agg(F.min("first_id").alias("component_id")))
+        found = linked.join(groups, "label").select("node", "component_id")
+        first = first.join(found, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
     else:
         first = first.withColumnRenamed("first_id", "component_id")
     blank = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

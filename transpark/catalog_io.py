@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transpark.catalog import duck, query, table, view
+from transpark.catalog import FIRST_SQL, SEQS, K, duck, query, table, view
 from transpark.functions import sequences as S
 from transpark.operators import alignments as A
 from transpark.operators import reads as R
+from transpark.operators.similarity import exact_copies
 from transpark.plans import pipelines as P
 from transpark.plans import runner
 from transpark.plans.config import from_dict
@@ -378,6 +379,13 @@ def splittable_records(spark, sf):
     return A.cycle_records(view(spark, sf, SPLIT), records, least=92.0).select("cycle", "score2", "is_spans", "seq")
 
 
+@query("kmer_links", f"WITH {FIRST_SQL} SELECT later AS src, earlier AS dst FROM p WHERE shared * 100.0 / size >= 50")
+def kmer_links(spark, sf):
+    seqs = view(spark, sf, SEQS["spark"])
+    firsts = seqs.join(exact_copies(seqs, "doc_id").where("doc_id = first").select("doc_id"), "doc_id", "left_semi")
+    return P.kmer_links(firsts, K, 50.0, "doc_id")
+
+
 LINKED = "SELECT 'CT' || (l_partkey % 90) AS qseqid, 'CT' || (l_suppkey % 90) AS sseqid, 80.0e0 + l_linenumber * 3 AS pident, CAST(l_quantity AS INT) AS length, 50 AS slen, 60 AS qlen, 0.0e0 AS evalue FROM {lineitem}"
 
 

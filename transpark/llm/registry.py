@@ -1,9 +1,7 @@
-"""Queries and SQL of the corpus operators."""
+"""Queries and SQL of the corpus operators; the pipeline is a script of its own."""
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, urlfilter, warc
 
 
@@ -19,7 +17,6 @@ def queries() -> dict:
         "op8_pii": pii.op8_pii,
         "op9_quality": quality.op9_quality,
         "op10_htmltext": htmltext.op10_htmltext,
-        "pipeline": corpus_pipeline.run,
     }
 
 

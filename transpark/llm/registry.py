@@ -30,4 +30,5 @@ def oracle_sql() -> dict:
         "op7_urlfilter": urlfilter.SQL,
         "op8_pii": pii.SQL,
         "op9_quality": quality.SQL,
+        "op10_htmltext": htmltext.SQL,
     }

@@ -167,7 +167,7 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))[0].select("doc_id", "size", "source_size", "target", "taken", "first_slot", "segments")
 
 
-SQL = rf"""
+_SQL = rf"""
 WITH r AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT size, md5(coalesce(doc_id::VARCHAR, '')) k FROM documents),
 p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT a FROM r),
 s AS (SELECT source, sum(size)::BIGINT source_size FROM r GROUP BY source),
@@ -183,10 +183,18 @@ y AS (SELECT ix, slot, row_number() OVER (PARTITION BY ix ORDER BY slot) - 1 r F
 x AS (SELECT ix, slot, r FROM y JOIN v USING (ix) WHERE r < slots UNION ALL
       SELECT ix, n + r * (SELECT max(ix) + 1 FROM v WHERE slots > 0) + ix, r FROM (SELECT v.*, unnest(range((SELECT count(*) FROM y WHERE y.ix = v.ix), slots)) r FROM v)),
 e AS (SELECT ix, slot, r * {BLOCK_WORDS} first, least((r + 1) * {BLOCK_WORDS}, q) last FROM x JOIN v USING (ix)),
-j AS (SELECT p.doc_id, p.k, size, source_size, target, ix, a + turn * source_size place FROM p JOIN v ON p.source IS NOT DISTINCT FROM v.source, range({REPEATS}) o(turn)),
-h AS (SELECT j.doc_id, count(*) segments, min(slot) first_slot, sum(least(place + size, last) - greatest(place, first)) taken FROM j JOIN e ON j.ix = e.ix AND first < place + size AND last > place WHERE size > 0 GROUP BY ALL)
+j AS (SELECT p.doc_id, p.source, p.k, size, source_size, target, ix, a + turn * source_size place FROM p JOIN v ON p.source IS NOT DISTINCT FROM v.source, range({REPEATS}) o(turn))
+"""
+SQL = f"""{_SQL}, h AS (SELECT j.doc_id, count(*) segments, min(slot) first_slot, sum(least(place + size, last) - greatest(place, first)) taken FROM j JOIN e ON j.ix = e.ix AND first < place + size AND last > place WHERE size > 0 GROUP BY ALL)
 SELECT p.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT taken, first_slot, coalesce(segments, 0)::BIGINT segments
 FROM p JOIN v ON p.source IS NOT DISTINCT FROM v.source LEFT JOIN h ON p.doc_id = h.doc_id
 """
 
+#: The mix itself, by slot and offset.
+EMIT_SQL = rf"""{_SQL}, said AS (SELECT doc_id, source, regexp_extract_all(text, '{WORD}') m, string_split_regex(text, '{WORD}') g FROM documents),
+piece AS (SELECT slot, greatest(place, first) - first AS "offset", j.doc_id, j.source, greatest(place, first) - place from_word, least(place + size, last) - place to_word FROM j JOIN e ON j.ix = e.ix AND first < place + size AND last > place WHERE size > 0)
+SELECT slot, "offset", n.doc_id, n.source, from_word, to_word, array_to_string(list_transform(range(from_word + 1, to_word + 1), lambda i: m[i] || CASE WHEN i < to_word THEN g[i + 1] ELSE '' END), '') AS text
+FROM piece n JOIN said o ON n.doc_id = o.doc_id AND n.source IS NOT DISTINCT FROM o.source
+"""
+
 ship_by_value(__name__)

@@ -249,9 +249,12 @@ def op6_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 W = r"'[^\x20\x09-\x0D]+'"
-SQL = rf"""
+def components_sql(k: int) -> str:
+    """doc_id, n_shingles, component_id and kept for k-word shingles."""
+    shingle = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {W}) w FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) s FROM w),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {k} + 2), lambda i: {shingle}) END) s FROM w),
 x AS (SELECT doc_id, len(s) n, unnest(s) g FROM s),
 c AS (SELECT a.doc_id a, b.doc_id b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80
       GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (max(a.n) + max(b.n) - count(*))),
@@ -261,4 +264,7 @@ m AS (SELECT doc_id, min(root) component_id FROM r GROUP BY doc_id)
 SELECT doc_id, len(s)::BIGINT n_shingles, component_id, doc_id = component_id kept FROM s JOIN m USING (doc_id)
 """
 
+
+SQL = components_sql(2)
+
 ship_by_value(__name__)

@@ -223,4 +223,13 @@ SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') n_{k}" for k in BASE_
 FROM d LEFT JOIN l USING (doc_id) GROUP BY doc_id
 """
 
+#: doc_id and the text with each span replaced; overlapping spans are one.
+REDACT_SQL = f"""
+WITH f AS (SELECT doc_id, text t, spans FROM documents JOIN ({SQL}) USING (doc_id)),
+s AS (SELECT doc_id, t, list_transform(list_filter(string_split(spans, ','), lambda x: x <> ''), lambda x: {{'k': upper(split_part(x, ':', 1)), 's': split_part(x, ':', 2)::BIGINT, 'e': split_part(x, ':', 3)::BIGINT, 'o': '', 'z': 0::BIGINT}}) x FROM f),
+r AS (SELECT doc_id, t, list_reduce(list_prepend({{'k': '', 's': 0::BIGINT, 'e': 0::BIGINT, 'o': '', 'z': 0::BIGINT}}, x),
+  lambda a, y: {{'k': '', 's': 0::BIGINT, 'e': 0::BIGINT, 'o': a['o'] || CASE WHEN y['s'] >= a['z'] THEN substr(t, a['z'] + 1, y['s'] - a['z']) || '[' || y['k'] || ']' ELSE '' END, 'z': greatest(a['z'], y['e'])}}) a FROM s)
+SELECT doc_id, CASE WHEN a['z'] = 0 THEN t ELSE a['o'] || substr(t, a['z'] + 1) END AS text FROM r
+"""
+
 ship_by_value(__name__)

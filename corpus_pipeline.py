@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from transpark.llm.common import shared_path
+from transpark.llm.decontaminate import SQL as LEAKS_SQL
 from transpark.llm.decontaminate import drop_leaks
-from transpark.llm.mixing import emit, mix
-from transpark.llm.neardup import drop_near_duplicates
-from transpark.llm.pii import redact
-from transpark.llm.quality import keep_good
+from transpark.llm.mixing import EMIT_SQL, emit, mix
+from transpark.llm.neardup import components_sql, drop_near_duplicates
+from transpark.llm.pii import REDACT_SQL, redact
+from transpark.llm.quality import POLICIES, POLICY, keep_good
+from transpark.llm.quality import SQL as QUALITY_SQL
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +46,20 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("neardup", neardup), ("decontaminate", decontaminate), ("pii", pii), ("mixing", mixing)]
 
-#: SQL can't express the near-duplicate links at scale and the spans' checks; tests hold the
-#: stages against brute force.
-ORACLE_SQL = None
+
+def _over(sql: str, table: str) -> str:
+    """The SQL of an operator over another table than documents."""
+    return sql.replace("FROM documents", f"FROM {table}")
+
+
+#: The stages one after another (personal data: the kinds that its SQL states).
+ORACLE_SQL = f"""
+WITH q1 AS (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM ({QUALITY_SQL}) WHERE fails & {POLICIES[POLICY]} = 0)),
+q2 AS (SELECT * FROM q1 WHERE doc_id IN (SELECT doc_id FROM ({_over(components_sql(5), "q1")}) WHERE kept)),
+q3 AS (SELECT * FROM q2 WHERE doc_id NOT IN (SELECT doc_id FROM ({_over(LEAKS_SQL, "q2")}))),
+q4 AS (SELECT q3.doc_id, q3.source, r.text FROM q3 JOIN ({_over(REDACT_SQL, "q3")}) r USING (doc_id))
+SELECT * FROM ({_over(EMIT_SQL, "q4")})
+"""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

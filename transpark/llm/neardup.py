@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         first = first.join(found, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
     else:
         first = first.withColumnRenamed("first_id", "component_id")
+    first = cut(first)  # so that the join below can split a text of very many copies
     blank = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     full = rows.where("node is not null").select("doc_id", "n_shingles", "node").join(first, "node").select("doc_id", "n_shingles", "component_id")
     return full.unionByName(blank).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -75,7 +75,8 @@ def as_random_as_a_key(value: str) -> bool:
 def _secrets(text: str) -> Iterator[tuple[int, int]]:
     """Keys of known form, and assigned values that look random; none inside another."""
     found = [m.span() for p in (KEY, PRIVATE) for m in p.finditer(text)]
-    found += [m.span(1) for m in ASSIGNED.finditer(text) if as_random_as_a_key(m[1])]
+    if "=" in text or ":" in text:
+        found += [m.span(1) for m in ASSIGNED.finditer(text) if as_random_as_a_key(m[1])]
     last = 0
     for start, end in sorted(found, key=lambda s: (s[0], -s[1])):
         if start >= last:

@@ -48,3 +48,21 @@ def test_frequent_kmers_and_long_chains(spark):
     items = spark.range(60).withColumnRenamed("id", "ord")
     for finish in (0, 10, 1000):
         assert sorted(r.ord for r in N.resolve_greedy(items, chain, finish=finish).collect()) == list(range(0, 60, 2))
+
+
+def test_tags_are_found_anywhere_in_a_header(spark):
+    import random
+
+    from transpark.plans.pipelines import tag_sequences
+
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("ab_") for _ in range(n))
+    tags = [(f"CT{i:03d}", rng.choice("xy"), word(rng.choice([0, 2, 3, 5]))) for i in range(30)]
+    records = list({(rng.choice("xyz"), word(rng.randint(0, 9))) for _ in range(60)})
+    want = {}
+    for s, d in records:
+        fits = [t for t, sample, c in tags if sample == s and c in d]
+        if fits:
+            want[s, d] = min(fits)
+    got = tag_sequences(spark.createDataFrame(tags, "ct_tag string, sample string, cycle_id string"), spark.createDataFrame([(s, d, f"{s}/{d}") for s, d in records], "sample string, description string, seq string"))
+    assert {tuple(r.seq.split("/")): r.ct_tag for r in got.collect()} == want

@@ -87,8 +87,17 @@ def similar_links(hits: DataFrame, identity: float = 90.0, coverage: float = 80.
 
 
 def tag_sequences(tags: DataFrame, records: DataFrame) -> DataFrame:
-    """(ct_tag, seq): records of the tag's sample whose header holds its cycle id, first tag wins."""
-    met = tags.join(records, "sample").where(F.col("description").contains(F.col("cycle_id")))
+    """(ct_tag, seq): records of the tag's sample whose header holds its cycle id, first tag wins.
+
+    Headers are cut into all their pieces of the lengths that the sample's cycle ids have, which are
+    a few, and these are joined to the ids: tags and records of a sample aren't compared in pairs.
+    """
+    keyed = tags.select("sample", "ct_tag", "cycle_id")
+    lengths = keyed.select("sample", F.length("cycle_id").alias("n_")).where("n_ is not null").distinct()
+    cut = F.transform(F.sequence(F.lit(1), F.length("description") - F.col("n_") + 1), lambda i: F.substring("description", i, F.col("n_")))
+    pieces = F.when(F.length("description") >= F.col("n_"), F.array_distinct(cut))
+    rows = records.join(lengths, "sample").select("sample", "description", "seq", F.explode(pieces).alias("cycle_id"))
+    met = rows.join(keyed, ["sample", "cycle_id"])
     return met.groupBy("sample", "description").agg(F.min_by(F.struct("ct_tag", "seq"), "ct_tag").alias("m")).select("m.*")
 
 

@@ -98,6 +98,15 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_in_repetitive_text(spark):
+    """Every window of a text of one word meets every window of an item of that word."""
+    docs = spark.createDataFrame([(1, "ha " * 50_000), (2, "ha " * 50_000), (3, "ha ha")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "ha " * 40), (2, "ho " * 40)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.score, r.equal_words) for r in got) == [(1, 1, 40, 40), (2, 1, 40, 40)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()] == [3]
+
+
 def plain_leaks(docs, items):
     """All diagonals that a seed hits, word by word."""
     split = lambda t: re.split(r"[\W_]+", (t or "").lower())

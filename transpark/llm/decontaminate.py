@@ -145,16 +145,27 @@ def find_leaks(
     found = docs.select(F.col(doc_id).alias("d_id"), F.col(text).alias("d_text"))
     found = found.join(wanted, F.col("d_id").eqNullSafe(F.col("w_id")), "left_semi")
     found = found.select(F.col("d_id").alias("f_id"), _token_hashes(F.col("d_text")).alias("d_tokens"))
-    pairs = found.join(small_or_not(hits), F.col("f_id").eqNullSafe(F.col("d_id"))).join(small_or_not(texts), "b_key")
+    # A document's tokens are in one row for each item, however many diagonals they met on.
+    lanes = hits.groupBy("d_id", "b_key").agg(F.collect_list(F.struct("diagonal", "hits")).alias("lanes"))
+    pairs = found.join(small_or_not(cut(lanes)), F.col("f_id").eqNullSafe(F.col("d_id"))).join(small_or_not(texts), "b_key")
     state = F.struct(F.lit(0).alias("here"), F.lit(0).alias("best"), F.lit(0).alias("equal"))
+    none = F.struct(F.lit(0).cast("long").alias("hits"), F.lit(0).alias("best"), F.lit(0).alias("equal"))
 
-    def step(acc: Column, j: Column) -> Column:
-        equal = F.coalesce(F.get(F.col("d_tokens"), j + F.col("diagonal")) == F.get(F.col("b_tokens"), j), F.lit(False))
-        here = F.greatest(acc["here"] + F.when(equal, 1).otherwise(-MISMATCH), F.lit(0))
-        return F.struct(here.alias("here"), F.greatest(acc["best"], here).alias("best"), (acc["equal"] + equal.cast("int")).alias("equal"))
+    def compared(diagonal: Column) -> Column:
+        def step(acc: Column, j: Column) -> Column:
+            equal = F.coalesce(F.get(F.col("d_tokens"), j + diagonal) == F.get(F.col("b_tokens"), j), F.lit(False))
+            here = F.greatest(acc["here"] + F.when(equal, 1).otherwise(-MISMATCH), F.lit(0))
+            return F.struct(here.alias("here"), F.greatest(acc["best"], here).alias("best"), (acc["equal"] + equal.cast("int")).alias("equal"))
 
-    scored = pairs.withColumn("told", F.aggregate(F.sequence(F.lit(0), F.size("b_tokens") - 1), state, step))
-    by_text = scored.groupBy(F.col("d_id").alias("l_id"), "b_key").agg(F.max("hits").alias("seed_hits"), F.max("told.best").alias("score"), F.max("told.equal").alias("equal_words"))
+        return F.aggregate(F.sequence(F.lit(0), F.size("b_tokens") - 1), state, step)
+
+    def best(acc: Column, lane: Column) -> Column:
+        # The inner fold is taken once: a one-element array holds its result for the three fields.
+        told = F.transform(F.array(compared(lane["diagonal"])), lambda t: F.struct(F.greatest(acc["hits"], lane["hits"]).alias("hits"), F.greatest(acc["best"], t["best"]).alias("best"), F.greatest(acc["equal"], t["equal"]).alias("equal")))
+        return F.get(told, F.lit(0))
+
+    scored = pairs.withColumn("told", F.aggregate("lanes", none, best))
+    by_text = scored.groupBy(F.col("d_id").alias("l_id"), "b_key").agg(F.max("told.hits").alias("seed_hits"), F.max("told.best").alias("score"), F.max("told.equal").alias("equal_words"))
     keyed = items.select("b_id", F.size("b_words").alias("item_words"), F.xxhash64("b_words", F.size("b_words")).alias("b_key")).distinct()
     share = F.ceil(F.col("item_words") * 0.8)
     return (

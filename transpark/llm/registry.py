@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, urlfilter, warc
+from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, tokenalign, urlfilter, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_pii": pii.op8_pii,
         "op9_quality": quality.op9_quality,
         "op10_htmltext": htmltext.op10_htmltext,
+        "op11_tokenalign": tokenalign.op11_tokenalign,
     }
 
 

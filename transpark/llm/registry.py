@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, secretscan, tokenalign, urlfilter, warc
+from . import decontaminate, htmltext, langid, lmscore, mixing, neardup, pii, quality, secretscan, spelling, tokenalign, urlfilter, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_quality": quality.op9_quality,
         "op10_htmltext": htmltext.op10_htmltext,
         "op11_tokenalign": tokenalign.op11_tokenalign,
+        "op12_spelling": spelling.op12_spelling,
         "op13_secrets": secretscan.op13_secrets,
     }
 
@@ -33,4 +34,5 @@ def oracle_sql() -> dict:
         "op8_pii": pii.SQL,
         "op9_quality": quality.SQL,
         "op10_htmltext": htmltext.SQL,
+        "op12_spelling": spelling.SQL,
     }

@@ -30,7 +30,9 @@ from .common import ship_by_value, stored
 TOKENIZERS = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a chunk, units that a task remembers, blocks of A ids, chunks of a salt.
-CHUNK_CHARS, REMEMBERED, BLOCKS, SALT_CHUNKS = 6_000_000, 300_000, 96, 1024
+CHUNK_CHARS, REMEMBERED, BLOCKS, SALT_CHUNKS = 4_000_000, 500_000, 96, 1024
+#: Characters of the texts that units are encoded in.
+JOINED = 20_000
 SPACE = "▁"
 UNIT = re.compile(r"\s*\S+|\s+")
 
@@ -79,6 +81,20 @@ class Vocabularies:
             return UNIT.findall(text)
         return re.split(rf"(?<=\S)(?=[{self.cuts}])", text) if self.cuts else [text]
 
+    def joined(self, units: list[str]) -> tuple[list[str], list[list[int]]]:
+        """Texts of about JOINED characters that units make up, and the places of these. White space
+        at a unit's end would grow together with the next one's: such a unit is a text of its own."""
+        texts, members, size = [], [], JOINED
+        for i, u in enumerate(units):
+            if size >= JOINED or u[0] not in self.cuts or u[-1].isspace():
+                texts.append([])
+                members.append([])
+                size = 0
+            texts[-1].append(u)
+            members[-1].append(i)
+            size = JOINED if u[-1].isspace() or not self.cuts else size + len(u)
+        return list(map("".join, texts)), members
+
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both for each unit, a piece of a text that a space was put before."""
         a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
@@ -119,19 +135,44 @@ class Units:
     def __init__(self, both: Vocabularies):
         self.both, self.place = both, {}
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (both.bytes_a, both.bytes_b))
-        self.groups: list[str | None] = []  # None: the bytes of the tokens differ from the unit's
+        self.signs_a, self.signs_b = _signs(len(self.size_a), ("", ",", ";")), _signs(len(self.size_b), ("|", ","))
+        self.groups: list[str] = []
+        self.wrong: list[int] = []  # places of units whose bytes aren't those of their tokens
         self.counts = np.empty((0, 4), np.int64)  # tokens of A and B, groups, links
         self.codes = np.empty(0, np.int64)  # a pair's code, unit by unit, in the order of links
         self.starts = np.zeros(1, np.int64)
 
     def add(self, units: list[str]) -> None:
+        """Encode and align units. They are encoded many at a time, as texts that units stand one behind
+        another in; should such a text not come back byte by byte, its units are looked at alone."""
+        joined, members = self.both.joined(units)
+        ids_a, ids_b = [], []
+        for one, of in zip(joined, members, strict=True):
+            a, b = self._encoded([one])
+            if a is None and len(of) > 1:
+                alone = [self._encoded([units[i]]) for i in of]
+                ids_a += [x if x is not None else _NONE for x, _ in alone]
+                ids_b += [x if x is not None else _NONE for _, x in alone]
+                bad = [i for i, (x, _) in zip(of, alone, strict=True) if x is None]
+            else:
+                ids_a.append(_NONE if a is None else a)
+                ids_b.append(_NONE if b is None else b)
+                bad = of if a is None else []
+            self.wrong += [len(self.groups) + i for i in bad]
+        lost = np.isin(np.arange(len(units)), [i - len(self.groups) for i in self.wrong])
+        self._align(units, np.concatenate([_NONE, *ids_a]), np.concatenate([_NONE, *ids_b]), lost)
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """Ids of a text in both; None where they don't give back its bytes."""
         both = self.both
-        a, b = both.encode(units)
-        right = [b"".join(map(both.bytes_a.__getitem__, x)) == (raw := u.encode()) and b"".join(map(both.bytes_b.__getitem__, y)) == raw for u, x, y in zip(units, a, b, strict=True)]
-        a, b = ([x if r else [] for x, r in zip(side, right, strict=True)] for side in (a, b))
-        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in side for i in x), np.int64, n.sum()) for side, n in ((a, n_a), (b, n_b)))
-        # Units stand one behind another: no token of one touches the next one's.
+        (a,), (b,) = both.encode(texts)
+        raw = texts[0].encode()
+        if b"".join(map(both.bytes_a.__getitem__, a)) != raw or b"".join(map(both.bytes_b.__getitem__, b)) != raw:
+            return None, None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def _align(self, units: list[str], ids_a: np.ndarray, ids_b: np.ndarray, lost: np.ndarray) -> None:
+        # No token of a unit reaches into the next one, so all of them are aligned at once.
         end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
         first, last = overlaps(end_a - self.size_a[ids_a], end_a, end_b - self.size_b[ids_b], end_b)
         n_links = last - first
@@ -139,18 +180,19 @@ class Units:
         ends = group_ends(first, last, len(ids_b))
         group_of_b = np.cumsum(ends) - ends
         group_of_a = group_of_b[first] if len(first) else first
-        unit_of_a, unit_of_b = np.repeat(np.arange(len(units)), n_a), np.repeat(np.arange(len(units)), n_b)
-        n_groups = np.bincount(unit_of_b[ends], minlength=len(units))
+        unit_ends = np.cumsum(np.where(lost, 0, np.fromiter((len(u.encode()) for u in units), np.int64, len(units))))
+        unit_of_a, unit_of_b = np.searchsorted(unit_ends, end_a, "left"), np.searchsorted(unit_ends, end_b, "left")
+        n_a, n_b, n_groups = (np.bincount(x, minlength=len(units)) for x in (unit_of_a, unit_of_b, unit_of_b[ends]))
         links = np.bincount(unit_of_a, n_links, len(units)).astype(np.int64)
-        total = int(ends.sum())
-        cuts_a, cuts_b = np.searchsorted(group_of_a, np.arange(total + 1)).tolist(), np.searchsorted(group_of_b, np.arange(total + 1)).tolist()
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        shown = [",".join(text_a[cuts_a[g] : cuts_a[g + 1]]) + "|" + ",".join(text_b[cuts_b[g] : cuts_b[g + 1]]) for g in range(total)]
-        at = 0
-        for u, n, r in zip(units, n_groups.tolist(), right, strict=True):
+        # Signs before each id: A's begin a group, unless it is the unit's first one with ";", B's follow "|".
+        start_a, start_b = np.diff(group_of_a, prepend=-1) > 0, np.diff(group_of_b, prepend=-1) > 0
+        sign_a = np.where(start_a, np.where(np.diff(unit_of_a, prepend=-1) > 0, 0, 2), 1)
+        order = np.argsort(np.concatenate([group_of_a * 2, group_of_b * 2 + 1]), kind="stable")
+        told = np.concatenate([self.signs_a[sign_a, ids_a], self.signs_b[np.where(start_b, 0, 1), ids_b]])[order].tolist()
+        bounds = [0, *np.cumsum(n_a + n_b).tolist()]
+        for k, u in enumerate(units):
             self.place[u] = len(self.groups)
-            self.groups.append(";".join(shown[at : at + n]) if r else None)
-            at += n
+            self.groups.append("".join(told[bounds[k] : bounds[k + 1]]))
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups, links], 1)])
         self.codes = np.concatenate([self.codes, code])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(links)])
@@ -158,19 +200,29 @@ class Units:
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         """Places of the units of each text; none where tokens don't give the text's bytes."""
         parts = [self.both.units(" " + t) if t else [] for t in texts]
-        self._meet(u for p in parts for u in p)
-        wrong = {i for i, p in enumerate(parts) if any(self.groups[self.place[u]] is None for u in p)}
-        if wrong:  # judged by the whole text, as its units' faults might even out
-            whole = {i: " " + texts[i] for i in wrong}
-            self._meet(whole.values())
-            parts = [([whole[i]] if self.groups[self.place[whole[i]]] is not None else []) if i in wrong else p for i, p in enumerate(parts)]
-        return [np.fromiter(map(self.place.__getitem__, p), np.int64, len(p)) for p in parts]
-
-    def _meet(self, units) -> None:
-        if new := [u for u in dict.fromkeys(units) if u not in self.place]:
+        self._meet(dict.fromkeys(u for p in parts for u in p))
+        placed = [np.fromiter(map(self.place.__getitem__, p), np.int64, len(p)) for p in parts]
+        if self.wrong:  # such texts are judged whole, as their units' faults might even out
+            whole = {i: " " + texts[i] for i, p in enumerate(placed) if np.isin(p, self.wrong).any()}
+            self._meet(dict.fromkeys(whole.values()))
+            for i, text in whole.items():
+                at = self.place[text]
+                placed[i] = np.array([] if at in self.wrong else [at], np.int64)
+        return placed
+
+    def _meet(self, units: dict[str, None]) -> None:
+        if new := [u for u in units if u not in self.place]:
             self.add(new)
 
 
+_NONE = np.empty(0, np.int64)
+
+
+def _signs(n: int, signs: tuple[str, ...]) -> np.ndarray:
+    """Each id as text behind each of the signs."""
+    return np.array([[f"{s}{i}" for i in range(n)] for s in signs], object)
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Numbers as compressed bytes, all lowest ones first."""
     x = np.ascontiguousarray(x)

@@ -37,8 +37,8 @@ def merged_subjects(hits: DataFrame, keys: list[str], order: list[str], threshol
     """
     pair = [*keys, "qseqid", "sseqid"]
     kept = good_hits(hits, identity, evalue).withColumns({"start": F.least("sstart", "send"), "end": F.greatest("sstart", "send")})
-    # One shuffle by pair: islands, what is told of each, and of all of a pair.
-    each = islands(kept, pair, "start", "end").groupBy(*pair, "island").agg(
+    # One shuffle by pair, whose hits are few: islands, what is told of each, and of all of a pair.
+    each = islands(kept, pair, "start", "end", spread=False).groupBy(*pair, "island").agg(
         (F.max("end") - F.min("start") + 1).alias("bases"), F.min(F.struct(*order, "slen")).alias("head"), F.sum("pident").alias("idents"), F.count("*").alias("n"),
         F.min(F.least("qstart", "qend")).alias("start"), F.max(F.greatest("qstart", "qend")).alias("end"),
     )

@@ -1,24 +1,61 @@
-"""Interval algebra: islands, coverage, overlaps and block segmentation, all as sorted windows."""
+"""Interval algebra: islands, coverage, overlaps and block segmentation, as sorted sweeps.
+
+What a sweep carries along (the furthest end, the depth) is a prefix maximum or sum. Rows are cut into
+ranges of the order, also inside a key; each range is swept by itself, and what the ranges before it
+add up to is carried in. So a key of any size is swept by as many tasks as there are ranges.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transpark.plans.storage import materialise
+
+PIECE = "piece_"
 
-def _before(keys: list[str], *order) -> Window:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
+def in_pieces(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """df dealt to ranges of (keys, order), with the range in PIECE. It is checkpointed, so that all
+    that is computed of it sees the same ranges. Rows of equal keys and order share a range."""
+    spark = df.sparkSession
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return materialise(df.repartitionByRange(ranges, *keys, *order).withColumn(PIECE, F.spark_partition_id()))
 
-def islands(df: DataFrame, keys: list[str], start: str, end: str, slack: int = 0) -> DataFrame:
+
+def prefix(df: DataFrame, keys: list[str], order: list[str], how, value: Column, name: str, own: bool = True) -> DataFrame:
+    """df (of ``in_pieces``, by the same order) with ``name``: F.max or F.sum of a value over the rows
+    of the key so far, with or without the row itself; null before the first row.
+
+    A range has one key at most that began in an earlier range, so there are fewer totals to carry
+    in than ranges; only these are broadcast. Rows that aren't in pieces are swept a key a task.
+    """
+    if PIECE not in df.columns:
+        return df.withColumn(name, how(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)))
+    total, carried = f"{name}_total", f"{name}_carried"
+    totals = df.groupBy(*keys, PIECE).agg(how(value).alias(total), F.count("*").alias("n_"))
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*[F.col(k).alias(f"{k}_k") for k in keys], F.col(PIECE).alias("p_"), how(total).over(before).alias(carried)).where(F.col(carried).isNotNull())
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_k")) for k in keys], F.col(PIECE) == F.col("p_"))
+    here = Window.partitionBy(*keys, PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    swept = df.withColumn(name, how(value).over(here)).join(F.broadcast(carry), same, "left")
+    both = F.greatest(name, carried) if how is F.max else F.when(F.col(name).isNull() & F.col(carried).isNull(), None).otherwise(F.coalesce(name, F.lit(0)) + F.coalesce(carried, F.lit(0)))
+    return swept.withColumn(name, both).drop(*[f"{k}_k" for k in keys], "p_", carried)
+
+
+def islands(df: DataFrame, keys: list[str], start: str, end: str, slack: int = 0, spread: bool = True) -> DataFrame:
     """df with ``island``: a new one starts where ``start`` is beyond all earlier ends plus slack.
 
     Touching intervals share an island, adjacent ones (end + 1 = start) don't unless slack is 1.
+    Islands of a key are numbered from 1, by place. Where the data model bounds the rows of a key,
+    ``spread`` = False saves the ranges: a key is then one task's.
     """
-    reach = F.max(end).over(_before(keys, start, end))
-    fresh = F.when(reach.isNull() | (F.col(start) > reach + slack), 1).otherwise(0)
-    order = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(order)).drop("fresh")
+    swept = prefix(in_pieces(df, keys, start, end) if spread else df, keys, [start, end], F.max, F.col(end), "reach_", own=False)
+    fresh = F.when(F.col("reach_").isNull() | (F.col(start) > F.col("reach_") + slack), 1).otherwise(0)
+    marked = swept.withColumn("fresh_", fresh)
+    return prefix(marked, keys, [start, end], F.sum, F.col("fresh_"), "island").drop("reach_", "fresh_", PIECE)
 
 
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", slack: int = 0) -> DataFrame:
@@ -35,9 +72,16 @@ def depth_runs(df: DataFrame, keys: list[str], start: str = "start", end: str =
     """Runs [start, end) of equal depth of half-open intervals, depth 0 left out: a sweep over ends."""
     events = df.where(F.col(start) < F.col(end)).select(*keys, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))).alias("e"))
     steps = events.groupBy(*keys, F.col("e.at").alias("at")).agg(F.sum("e.step").alias("step"))
-    order = Window.partitionBy(*keys).orderBy("at")
-    swept = steps.withColumn("depth", F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("until", F.lead("at").over(order))
-    return swept.where("depth > 0").select(*keys, F.col("at").alias("start"), F.col("until").alias("end"), "depth")
+    pieces = in_pieces(steps, keys, "at")
+    depths = prefix(pieces, keys, ["at"], F.sum, F.col("step"), "depth")
+    # A run ends at the next place; that of a range's last row is the first of the next range.
+    here = Window.partitionBy(*keys, PIECE).orderBy("at")
+    firsts = pieces.groupBy(*keys, PIECE).agg(F.min("at").alias("first_"))
+    nexts = firsts.withColumn("next_", F.lead("first_").over(Window.partitionBy(*keys).orderBy(PIECE))).where("next_ is not null")
+    nexts = nexts.select(*[F.col(k).alias(f"{k}_k") for k in keys], F.col(PIECE).alias("p_"), "next_")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_k")) for k in keys], F.col(PIECE) == F.col("p_"))
+    swept = depths.withColumn("until", F.lead("at").over(here)).join(F.broadcast(nexts), same, "left")
+    return swept.where("depth > 0").select(*keys, F.col("at").alias("start"), F.coalesce("until", "next_").alias("end"), "depth")
 
 
 def without_overlap(left: DataFrame, right: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -49,8 +93,9 @@ def without_overlap(left: DataFrame, right: DataFrame, keys: list[str], start: s
     lanes = merge_intervals(right.select(*keys, start, end), keys, start, end)
     rows = left.select(*keys, F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("row"), F.col(end).alias("at"), F.lit(1).alias("turn"), F.lit(None).cast("long").alias("reach"))
     marks = lanes.select(*keys, F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.col(start).alias("at"), F.lit(0).alias("turn"), F.col(end).cast("long").alias("reach"))
-    sweep = Window.partitionBy(*keys).orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    swept = rows.unionByName(marks).withColumn("last", F.last("reach", ignorenulls=True).over(sweep)).where("turn = 1")
+    # Merged lanes are disjoint, so the last one's end is the furthest.
+    pieces = in_pieces(rows.unionByName(marks), keys, "at", "turn")
+    swept = prefix(pieces, keys, ["at", "turn"], F.max, F.col("reach"), "last").where("turn = 1")
     return swept.where(F.col("last").isNull() | (F.col("last") < F.col(f"row.{start}"))).select("row.*")
 
 

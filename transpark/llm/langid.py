@@ -139,11 +139,13 @@ def identify(docs: DataFrame, model: Centroids, doc_id: str = "doc_id", text: st
     equally near ones the first by name. Rows of equal or null ids are rows of their own; other
     columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # Arrays and lists only: broadcast values are pickled by reference, and workers need not have the package.
+    held = docs.sparkSession.sparkContext.broadcast((model.languages, model.centres, model.limits, model.idf))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Centroids(*held.value)
         for batch in batches:
-            found = [held.value.predict(t.as_py()) for t in batch.column(1)]
+            found = [sent.predict(t.as_py()) for t in batch.column(1)]
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "lang_pred", "score", "rejected"])
 

@@ -177,6 +177,17 @@ def test_path_sequence_and_rotation(spark):
     assert got == want
 
 
+def test_rotation_classes(spark):
+    """Rotations of one sequence on both strands are one class however many there are; periodic ones too."""
+    rng = random.Random(2)
+    base = "".join(rng.choice("ACGT") for _ in range(400))
+    seqs = [(base[i % 400 :] + base[: i % 400]) if i % 2 else rc(base[i % 400 :] + base[: i % 400]) for i in range(10_000)]
+    seqs += ["ACAC", "CACA", "GTGT", "ACGACG", "A" * 50, "T" * 50, "", None, "ACCA"]
+    got = {r.ord: (r.first, r.members) for r in G.rotation_classes(spark.createDataFrame(list(enumerate(seqs)), "ord long, seq string")).collect()}
+    assert {got[i] for i in range(10_000)} == {(0, 10_000)}
+    assert [got.get(10_000 + i) for i in range(9)] == [(10_000, 3)] * 3 + [(10_003, 1)] + [(10_004, 2)] * 2 + [None, None, (10_008, 1)]
+
+
 def test_enrichment(spark):
     names = [("ISFinder_IS26-MH257753",), ("IS10",), ("ISEcp1",), ("ISCR9",), ("IS4321",), ("Tn3",), ("nothing",), ("  ",)]
     got = [(r.is_group, r.is_family) for r in E.element_family(spark.createDataFrame(names, "n string").coalesce(1), "n").collect()]

@@ -473,6 +473,13 @@ def rotation_duplicates(spark, sf):
     return G.rotation_pairs(seqs)
 
 
+@query("rotation_classes", f"""WITH r AS ({duck(ROT)}), d AS (SELECT ord, seq, {RC.format(s='seq')} AS back FROM r WHERE length(seq) > 0),
+k AS (SELECT ord, (SELECT min(substr(t.s, i, t.n)) FROM (SELECT unnest([seq || seq, back || back]) AS s, length(seq) AS n) t, unnest(range(1, t.n + 1)) u(i)) AS key FROM d)
+SELECT ord, min(ord) OVER (PARTITION BY key) AS "first", count(*) OVER (PARTITION BY key) AS members FROM k""")
+def rotation_classes(spark, sf):
+    return G.rotation_classes(view(spark, sf, ROT))
+
+
 @query("graph_quality", f"""WITH {EDGES_SQL}, c AS (SELECT DISTINCT graph_id, regexp_replace(n, '[+-]$', '') AS contig FROM (SELECT graph_id, src AS n FROM e UNION SELECT graph_id, dst FROM e)), d AS (SELECT graph_id, contig || s AS node FROM c, (VALUES ('+'), ('-')) v(s)),
 q AS (SELECT c.graph_id, count(*) AS contigs, (SELECT count(*) FROM f WHERE f.graph_id = c.graph_id AND rn = 1) AS links, (SELECT count(*) FROM d WHERE d.graph_id = c.graph_id AND NOT EXISTS (SELECT 1 FROM e WHERE e.graph_id = d.graph_id AND e.src = d.node)) AS dead_ends FROM c GROUP BY 1),
 s AS (SELECT *, links / (contigs * (dead_ends + 1.0) * (dead_ends + 1.0)) AS score FROM q)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from transpark.operators.intervals import merge_blocks
 from transpark.plans import pipelines as P
 from transpark.plans.config import Options, from_dict
+from transpark.sources import bam as B
 from transpark.sources import readers as R
 from transpark.sources import sinks as K
 from transpark.streaming import stateless
@@ -89,10 +90,10 @@ def test_binary_alignments(spark, tmp_path):
         cigar = "".join(f"{n}{'MIDNSHP=X'[op]}" for n, op in ops) or "*"
         text += "\t".join([name, str(flag), refs[ref][0] if ref >= 0 else "*", str(pos + 1), str(mapq), cigar, "*", "0", "0", seq or "*", "*", *([f"SA:Z:{sa}"] if sa else [])]) + "\n"
     plain, plain_refs = R.read_sam(spark, put(tmp_path / "sam" / "x.sam", text))
-    binary, binary_refs = R.read_bam(spark, str(tmp_path / "x.bam"))
+    binary, binary_refs = B.read_bam(spark, str(tmp_path / "x.bam"))
     assert sorted(map(tuple, binary.collect())) == sorted(map(tuple, plain.drop("nth").collect()))
     assert sorted(map(tuple, binary_refs.collect())) == sorted(map(tuple, plain_refs.collect()))
-    assert R.read_bam(spark, str(tmp_path / "x.bam"), "ref1")[0].count() == 1
+    assert B.read_bam(spark, str(tmp_path / "x.bam"), "ref1")[0].count() == 1
 
 
 def test_sinks(spark, tmp_path):

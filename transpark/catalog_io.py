@@ -15,6 +15,7 @@ from transpark.plans import pipelines as P
 from transpark.plans import runner
 from transpark.plans.config import from_dict
 from transpark.plans.storage import shared_path
+from transpark.sources import bam as BAM
 from transpark.sources import readers as IN
 from transpark.sources import sinks as OUT
 
@@ -459,3 +460,26 @@ def sample_runs(spark, sf):
         raise ValueError(f"samples were built again: {built}")
     rows = spark.read.parquet(out).groupBy("sample").agg(F.count("*").alias("n"))
     return told.join(rows, "sample", "left").select("sample", F.col("error").isNull().alias("done"), "n")
+
+
+BAM_ROWS = """SELECT 'r' || l_orderkey || '/' || l_linenumber AS read, CAST((l_linenumber % 2) * 16 AS INT) AS flag, 'ref' || (l_suppkey % 3) AS ref, CAST(l_partkey * 37 + 1 AS INT) AS pos, CAST(l_linenumber AS INT) AS mapq,
+CAST(l_quantity AS INT) || 'M' || CASE WHEN l_linenumber = 2 THEN '3D1M' ELSE '' END AS cigar, CAST(l_quantity AS INT) AS seq_len, CASE WHEN l_linenumber = 3 THEN 'ref0,7,+,9M,60,0;' ELSE '' END AS sa FROM {lineitem}"""
+
+
+def bam_files(spark, sf: str) -> str:
+    """The path of lineitem's rows as alignments, in order within files."""
+    path = shared_path(spark, "alignments")
+    rows = view(spark, sf, BAM_ROWS).repartitionByRange(3, "ref", "pos").sortWithinPartitions("ref", "pos")
+    BAM.write_bam(rows, path, [(f"ref{i}", 1_000_000) for i in range(3)])
+    return path
+
+
+@query("io_bam", f"SELECT * FROM ({duck(BAM_ROWS)})")
+def io_bam(spark, sf):
+    """Splits of 100 KB: many to a file."""
+    return BAM.read_bam(spark, bam_files(spark, sf), split_bytes=100_000)[0]
+
+
+@query("io_bam_region", f"SELECT * FROM ({duck(BAM_ROWS)}) WHERE ref = 'ref1'")
+def io_bam_region(spark, sf):
+    return BAM.read_bam(spark, bam_files(spark, sf), "ref1", split_bytes=100_000)[0]

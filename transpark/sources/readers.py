@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-import itertools
-import struct
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -101,78 +94,6 @@ def read_sam(spark: SparkSession, path: str, ref: str | None = None) -> tuple[Da
     return (data if ref is None else data.where(F.col("ref") == ref)), refs
 
 
-#: Fixed values of the binary alignment format: CIGAR operations and bases by code, sizes of tag types.
-_OPS, _TAG_SIZES = "MIDNSHP=X", {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
-BAM = "read string, flag int, ref string, pos int, mapq int, cigar string, seq_len int, sa string"
-
-
-def _tag(data: bytes, at: int, wanted: bytes) -> str:
-    """The text of a tag among those from ``at`` on; empty if there is none."""
-    while at + 3 <= len(data):
-        name, kind = data[at : at + 2], chr(data[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = data.index(0, at)
-            if name == wanted:
-                return data[at:end].decode()
-            at = end + 1
-        elif kind == "B":
-            at += 5 + _TAG_SIZES[chr(data[at])] * int.from_bytes(data[at + 1 : at + 5], "little")
-        else:
-            at += _TAG_SIZES[kind]
-    return ""
-
-
-def bam_records(content: bytes) -> Iterator[tuple]:
-    """(references, None), then a tuple of the columns of ``BAM`` for each record of a file."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content))  # blocks are gzip members
-    number = lambda: int.from_bytes(stream.read(4), "little", signed=True)
-    if stream.read(4) != b"BAM\1":
-        raise ValueError("no binary alignments")
-    stream.read(number())
-    refs = []
-    for _ in range(number()):
-        name = stream.read(number())[:-1].decode()
-        refs.append((name, number()))
-    yield refs, None
-    while size := stream.read(4):
-        data = stream.read(int.from_bytes(size, "little"))
-        ref, pos, name_len, mapq, _, n_ops, flag, n_bases = struct.unpack_from("<iiBBHHHi", data)
-        at = 32 + name_len
-        ops = struct.unpack_from(f"<{n_ops}I", data, at)
-        tags = at + 4 * n_ops + (n_bases + 1) // 2 + n_bases
-        yield data[32 : at - 1].decode(), flag, refs[ref][0] if ref >= 0 else "*", pos + 1, mapq, "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) or "*", n_bases, _tag(data, tags, b"SA")
-
-
-def _bam_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string()]
-    names = [x.split()[0] for x in BAM.split(", ")]
-    for batch in batches:
-        for content in batch.column(0):
-            records = bam_records(content.as_py())
-            next(records)
-            while rows := list(itertools.islice(records, 10_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
-
-
-def _bam_references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column(0):
-            refs, _ = next(bam_records(content.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in refs], t) for i, t in enumerate((pa.string(), pa.int32()))], names=["ref", "length"])
-
-
-def read_bam(spark: SparkSession, path: str, ref: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(alignments, references) of binary alignment files, as ``read_sam`` has them but for nth.
-
-    A file is one task's and must fit it compressed; it is decompressed as it is read. Larger ones
-    are to be split or converted to text.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    data = files.mapInArrow(_bam_rows, BAM)
-    return (data if ref is None else data.where(F.col("ref") == ref)), files.mapInArrow(_bam_references, "ref string, length int").distinct()
-
-
 def mapped(alignments: DataFrame, primary_only: bool = False) -> DataFrame:
     """Alignments without unmapped ones, or also without secondary and supplementary ones."""
     bits = 4 | (256 | 2048 if primary_only else 0)

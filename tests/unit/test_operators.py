@@ -44,6 +44,27 @@ def test_scalar_functions(spark):
     assert one(spark, S.contig_kind(L("Cycle_1_2_3_transposon_1"))) == "transposon"
 
 
+def test_rounding_is_that_of_the_exact_value(spark):
+    rng = random.Random(9)
+    some = [0.0, -0.0, 2.675, 0.0625, -0.0625, 1.005, 0.5, 1.5, 2.5, -2.5, 1e15 + 0.5, 1e300, -1e-300, 5e-324, 0.125, 4503599627370497.5, 123456789.0005]
+    some += [rng.uniform(-1000, 1000) for _ in range(3000)] + [rng.randint(-(10**6), 10**6) / 10 ** rng.randint(1, 5) for _ in range(3000)] + [rng.randint(-99999, 99999) / 2 ** rng.randint(1, 12) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in some], "x double")
+    for digits in (0, 1, 2, 3, 6):
+        for r in df.select("x", S.exact_round(F.col("x"), digits).alias("r")).collect():
+            assert r.r == round(r.x, digits), (r.x, digits, r.r)
+    odd = spark.createDataFrame([("nan",), ("x",), (None,), ("1.25",)], "x string").select(S.number_or_zero(F.col("x"), 1).alias("r")).collect()
+    assert str([r.r for r in odd]) == "[nan, 0.0, 0.0, 1.2]"
+
+
+def test_occurrence_similarity_random(spark):
+    rng = random.Random(4)
+    pairs = [("".join(rng.choice("ACGT"[: rng.randint(1, 4)]) for _ in range(rng.randint(0, 30))), "".join(rng.choice("ACG") for _ in range(rng.randint(0, 30)))) for _ in range(300)]
+    got = spark.createDataFrame(pairs, "one string, two string").select("one", "two", N.occurrence_similarity(F.col("one"), F.col("two"), 3).alias("p")).collect()
+    for r in got:
+        every = [r.two[i : i + 3] for i in range(len(r.two) - 2)]
+        assert r.p == (100.0 * sum(x in r.one or x in rc(r.one) for x in every) / len(every) if every else None)
+
+
 def merged(spans):
     out = []
     for s, e in sorted(spans):

@@ -671,11 +671,11 @@ def distinct_union(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id")).union(table(spark, sf, "supplier").select("s_suppkey")).distinct()
 
 
-@query("batching", "SELECT s_suppkey, floor((row_number() OVER (ORDER BY s_suppkey) - 1) / 200)::BIGINT AS batch FROM supplier")
+@query("batching", "SELECT o_orderkey, floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 200)::BIGINT AS batch FROM orders")
 def batching(spark, sf):
     from transpark.plans.pipelines import in_batches
 
-    return in_batches(table(spark, sf, "supplier").select("s_suppkey"), ["s_suppkey"], 200)
+    return in_batches(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 200)
 
 
 @query("id_set_filter", "SELECT o_orderkey FROM orders SEMI JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') r ON o_orderkey = l_orderkey")

@@ -306,9 +306,9 @@ def io_mapping_summary(spark, sf):
     return back.select(last_folder().alias("run"), F.explode("values").alias("key", "value"))
 
 
-@query("io_discover", "SELECT 'k' || n_regionkey AS k, sum(length(n_name) + 1)::BIGINT AS size FROM nation WHERE n_regionkey > 0 GROUP BY n_regionkey")
+@query("io_discover", "SELECT 'k' || n_regionkey AS k, sum(length(n_name) + 1)::BIGINT AS size FROM nation GROUP BY n_regionkey")
 def io_discover(spark, sf):
-    rows = view(spark, sf, "SELECT 'k' || n_regionkey AS k, n_name AS value FROM {nation} WHERE n_regionkey > 0").repartition(1)
+    rows = view(spark, sf, "SELECT 'k' || n_regionkey AS k, n_name AS value FROM {nation}").repartition(1)
     found = IN.discover(spark, written(rows, "discover", "k"), "part-*.txt", 1)
     return found.select(last_folder("path").alias("k"), "size")
 
@@ -483,3 +483,14 @@ def io_bam(spark, sf):
 @query("io_bam_region", f"SELECT * FROM ({duck(BAM_ROWS)}) WHERE ref = 'ref1'")
 def io_bam_region(spark, sf):
     return BAM.read_bam(spark, bam_files(spark, sf), "ref1", split_bytes=100_000)[0]
+
+
+ROUNDED = "SELECT l_orderkey, l_linenumber, CAST(l_suppkey * l_linenumber AS DOUBLE) / 16.0D AS x, CAST(l_partkey % 10000 AS DOUBLE) / 1000.0D + 0.005D AS y, CAST(l_extendedprice AS DOUBLE) / -7.0D AS z FROM {lineitem}"
+ROUNDED_SQL = duck(ROUNDED).replace(".0D", ".0::DOUBLE").replace("0.005D", "0.005::DOUBLE")
+
+
+@query("exact_rounding", f"SELECT l_orderkey, l_linenumber, format('{{:.3f}}', x)::DOUBLE AS x, format('{{:.2f}}', y)::DOUBLE AS y, format('{{:.1f}}', z)::DOUBLE AS z FROM ({ROUNDED_SQL})")
+def exact_rounding(spark, sf):
+    """Ties of binary fractions, ties of decimal texts that aren't ones, and any numbers."""
+    rows = view(spark, sf, ROUNDED)
+    return rows.select("l_orderkey", "l_linenumber", S.number_or_zero(F.col("x"), 3).alias("x"), S.number_or_zero(F.col("y"), 2).alias("y"), S.number_or_zero(F.col("z"), 1).alias("z"))

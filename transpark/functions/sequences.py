@@ -210,9 +210,31 @@ def contig_kind(name: Column) -> Column:
     return F.when(name.rlike(r"_transposon(_\d+)?$"), "transposon").when(name.rlike(r"_cargo(_\d+)?$"), "cargo").otherwise("unknown")
 
 
+def exact_round(value: Column, digits: int) -> Column:
+    """A double rounded by its exact binary value, half to even: 2.675 to two digits is 2.67, as it is
+    a little less than that; 0.0625 to three digits is 0.062.
+
+    The product with the power of ten is kept as two doubles (halves of 26 and 27 bits multiply without
+    loss), so that its distance from a tie is known exactly. Numbers whose product reaches 2^53 have no
+    digits to lose and stay.
+    """
+    split, power = 134217729.0, float(10**digits)
+    high = lambda x: x * split - (x * split - x)
+    power_high = power * split - (power * split - power)
+    x = F.abs(value)
+    x_high = high(x)
+    product = x * power
+    rest = ((x_high * power_high - product) + x_high * (power - power_high) + (x - x_high) * power_high) + (x - x_high) * (power - power_high)
+    whole = F.floor(product).cast("double")
+    over = product - whole - 0.5
+    up = (over > 0) | ((over == 0) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
+    rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / power * F.when(value < 0, -1.0).otherwise(1.0)
+    return F.when(F.isnan(value) | (product >= float(1 << 53)), value).otherwise(rounded)
+
+
 def number_or_zero(value: Column, digits: int) -> Column:
-    """A rounded number; 0 for what isn't one."""
-    return F.round(F.coalesce(value.try_cast("double"), F.lit(0.0)), digits)
+    """A number rounded by its exact value; 0 for what isn't one."""
+    return exact_round(F.coalesce(value.try_cast("double"), F.lit(0.0)), digits)
 
 
 def metadata_line(product: Column, genes: Column, score: Column) -> Column:

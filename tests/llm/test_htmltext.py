@@ -103,7 +103,7 @@ def plain_templates(pages):
             has = [s[path] for s in stats if path in s]
             if len(has) >= h.SUPPORT * len(stats):
                 opens, shuts = [tuple(s[path][k] if path in s else 0 for s in stats) for k in (0, 1)]
-                slots.append(h.Slot(path, len(has), opens, opens == shuts, max(opens) == 1, sum(x[2] for x in has), sum(x[3] for x in has), len(has) > 1 and len({x[4] for x in has}) == 1, any(x[5] for x in has)))
+                slots.append(h.Slot(path, len(has), opens, opens == shuts, max(opens) == 1, sum(x[2] for x in has), sum(x[3] for x in has), len(has) > 1 and len({x[4] for x in has}) == 1, max(x[5] for x in has)))
         out[host] = (*h.verdicts(slots), {p: s.klass for p, s in ((s.path, s) for s in slots)})
     return out
 
@@ -133,3 +133,43 @@ def test_deduction_brute_force(spark):
         for path, vector in classes.items():
             by[vector].add(path)
         assert sorted(map(sorted, by.values())) == sorted(map(sorted, sums[host].values()))
+
+
+def framed(rng, i):
+    """A page whose whole body is in a form, with an advert, a notice and comments."""
+    article = [prose(rng, 60) for _ in range(3)]
+    advert = " ".join(f"Buy {prose(rng, 12)} now!" for _ in range(9))
+    body = f'<h1>Head {i}</h1><p>{article[0]}</p><div class="advertisement"><p>{advert}</p></div><p>{article[1]}</p><p>{article[2]}</p>'
+    comments = f'<ol id="commentlist"><li>I say {prose(rng, 30)}</li></ol><div class="user-comment"><p>Me too {prose(rng, 30)}</p></div>'
+    page = f'<html><title>Page {i}</title><body><form id="aspnetForm" action="/x"><input type=hidden value=1><div class="menu"><a href=/>Home</a></div><div id="main">{body}{comments}</div><div class="cookie-notice">{"We store things. " * 35}{i}</div></form><form><label>Name</label><input><p>Send us a word {i}</p></form></body></html>'
+    return page, "\n\n".join([f"Head {i}", *article])
+
+
+def test_forms_adverts_notices_and_comments(spark):
+    rng = random.Random(8)
+    made = [framed(rng, i) for i in range(8)]
+    got = texts(spark, [(i, f"http://framed/{i}", m[0]) for i, m in enumerate(made)] + [(9, "http://alone/", made[0][0])])
+    assert got == {**{i: m[1] for i, m in enumerate(made)}, 9: made[0][1]}
+
+
+def test_notices_beside_a_short_article_on_a_lone_page():
+    notice = "We and our partners store things on your device. " * 12
+    assert h.extract_text(f'<title>T</title><body><div class="cookie-notice">{notice}</div><article><p>A short article.</p></article></body>') == "A short article."
+    assert h.extract_text(f"<title>Name</title><p>{notice}</p>") == notice.strip()
+    # What is all that a page has stays, whatever its name is.
+    assert h.extract_text(f'<div class="sponsored"><p>{notice}</p></div>') == notice.strip()
+    # A form that holds little prose, or fields only, goes.
+    assert h.extract_text(f"<form><p>Write to us</p><label>Name</label></form><div><p>{notice}</p></div>") == notice.strip()
+
+
+def test_markup_without_end_is_read_once():
+    """Times are bounded by what a scan takes; quadratic ones would be hours."""
+    import time
+
+    began = time.perf_counter()
+    for part in ('<p a="', "<p a='", "<p a", "<script ", "<!doctype ", "<!-- ", "</", "<b <i ", '"<a b="c>', "<script></script "):
+        h.extract_text("<p>start</p>" + part * (1_000_000 // len(part)))
+    assert h.extract_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
+    assert h.extract_text("if a <b") == "if a <b" and h.extract_text("x<p title=\"open>y") == "x"
+    assert time.perf_counter() - began < 60
+

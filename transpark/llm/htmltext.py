@@ -31,12 +31,20 @@ from pyspark.sql import functions as F
 
 from .common import cut, ship_by_value, small_or_not
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+#: Attributes are taken whole or not at all. A tag, script or declaration that the page ends in is taken
+#: to the end, so that no part of a page is looked at twice.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style|noscript|template|textarea|svg|iframe|select)\b[^>]*+(?:\Z|>.*?(?:</\1\s*+>|\Z))"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|(\Z|[\"'].*))"
+    r"|<[!?][^>]*+(?:>|\Z)",
+    re.S | re.I,
+)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-BOILER = frozenset("head nav footer aside form button dialog menu select option label fieldset".split())
+BOILER = frozenset("head title nav footer aside button dialog menu select option label fieldset".split())
 #: Elements that end an open one of these.
 CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 SCOPES = frozenset("article section main div body html td th li ul ol table aside nav footer header form blockquote".split())
@@ -48,18 +56,25 @@ NAMES = frozenset("ad ads advert advertisement advertising adsbygoogle sponsor s
 HEADS = frozenset("ad ads advert advertisement nav navbar navigation menu breadcrumb breadcrumbs sidebar footer banner notice widget pagination popup modal promo newsletter toolbar masthead".split())
 SHAPES = frozenset("slot container list area box bar wrapper wrap section posts items links link buttons icons block panel form thread unit top bottom left right inner message text title head".split())
 COMMENTS = frozenset("comment comments disqus respond responses reply replies reactions feedback discussion".split())
+#: Names that are boilerplate however long it is, as long as something is left without it.
+SURE = frozenset("ad ads advert advertisement advertising adsbygoogle sponsor sponsored cookie cookies consent gdpr".split())
+#: Elements by which a form that holds an article is told.
+PROSE = frozenset("article main h1 h2 p".split())
 PARTS = re.compile(r"[-_:]+|(?<=[a-z])(?=[A-Z])")
 DIGITS = re.compile(r"[0-9]+")
 #: Share of a host's pages that a class needs; how much more text the article's slot has than all
 #: beside it; what text counts that is the same on all pages; and what is short and what is a list
 #: of links, for named elements.
 SUPPORT, MAIN, SAME, SHORT, SHORT_CHARS, LINKS = 0.5, 4.0, 0.25, 0.25, 300, 0.5
+#: How many times the rest of the text a surely named element may have; the share of a page's text from
+#: which on a form that holds prose is the page's frame; characters of a path.
+SURE_TIMES, FORM_SHARE, PATH_CHARS = 20, 0.5, 4000
 #: Siblings of one name that are told apart.
 SIBLINGS = 9
 
 
 def _spoken(attributes: str) -> int:
-    """What an element's names say: 0 nothing, 1 boilerplate, 2 readers' comments."""
+    """What an element's names say: 0 nothing, 1 boilerplate, 2 readers' comments, 3 boilerplate for sure."""
     said = 0
     for m in ATTRIBUTE.finditer(attributes):
         if m[1].lower() not in ("class", "id"):
@@ -70,10 +85,11 @@ def _spoken(attributes: str) -> int:
             if not parts:
                 continue
             shaped = all(x in SHAPES or x.isdigit() for x in parts[1:])
-            if parts[0] in COMMENTS and shaped or parts[-1] == "comments":
+            glued = parts[0].removeprefix("comments") if parts[0].startswith("comments") else parts[0].removeprefix("comment")
+            if parts[0] in COMMENTS and shaped or parts[-1] in ("comment", "comments") or glued != parts[0] and glued in SHAPES and shaped:
                 return 2
             if "".join(parts) in NAMES or parts[0] in NAMES and shaped or parts[-1] in HEADS:
-                said = 1
+                said = max(said, 3 if parts[0] in SURE or parts[-1] in SURE else 1)
     return said
 
 
@@ -87,14 +103,30 @@ def _label(tag: str, attributes: str) -> str:
 class Page:
     """The block elements of a page and its text blocks, in page order.
 
-    ``elements`` are [path, parent, boilerplate by tag, what its names say, closed], ``blocks`` are
-    (text, element, characters in links).
+    ``elements`` are [path, parent, boilerplate by tag, what its names say, closed, the form around it,
+    tag], ``blocks`` are (text, element, characters in links).
     """
 
     def __init__(self, page: str):
-        self.elements: list[list] = [["", -1, False, 0, True]]
+        self.elements: list[list] = [["", -1, False, 0, True, 0, ""]]
         self.blocks: list[tuple[str, int, int]] = []
         self._parse(page)
+        self._judge_forms()
+
+    def _judge_forms(self) -> None:
+        """Forms are boilerplate, but for one that prose and most of the page's text are in."""
+        elements = self.elements
+        if not any(e[5] for e in elements):
+            return
+        chars: Counter = Counter()
+        for said, e, _ in self.blocks:
+            if not elements[e][2]:
+                chars[elements[e][5]] += len(said)
+        prose = {e[5] for e in elements if e[6] in PROSE and not e[2]}
+        frames = {f for f, n in chars.items() if f in prose and n >= FORM_SHARE * chars.total()}
+        for e in elements:
+            if e[5] and e[5] not in frames:
+                e[2] = True
 
     def _parse(self, page: str) -> None:
         elements, blocks = self.elements, self.blocks
@@ -126,7 +158,10 @@ class Page:
             if tag in HOLDS:
                 siblings[-1][label] += 1
                 label = f"{label}[{min(siblings[-1][label], SIBLINGS)}]"
-            elements.append([f"{above[0]}/{label}", stack[-1][1], boiler or above[2], said, False])
+            # Paths of elements that are nested without end would grow with their depth.
+            path = above[0] if len(above[0]) < PATH_CHARS else f"/~/~/~{_hash(above[0])}"
+            form = len(elements) if tag == "form" and not above[5] else above[5]
+            elements.append([f"{path}/{label}", stack[-1][1], boiler or above[2], said, False, form, tag])
             stack.append((tag, len(elements) - 1))
             siblings.append(Counter())
 
@@ -138,6 +173,11 @@ class Page:
             at = m.end()
             if m[3] is None:
                 continue
+            if m[5] is not None and ">" not in m[0]:
+                text.append(m[0] if m.start() else "")  # a lone < in plain text
+                continue
+            if m[5] is not None:
+                continue
             tag, attributes = m[3].lower(), m[4]
             if tag in INLINE:
                 if tag == "a":
@@ -190,7 +230,7 @@ class Page:
                 x[1] += links
                 x[2] += _hash(said)
         for e in range(len(elements) - 1, -1, -1):
-            path, parent, boiler, said, closed = elements[e]
+            path, parent, boiler, said, closed = elements[e][:5]
             if boiler:
                 continue
             x = own[e]
@@ -260,11 +300,11 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Slot:
     """An element of a template: its path, class, and what is in it."""
 
-    __slots__ = ("chars", "klass", "links", "named", "once", "pages", "path", "same", "valid")
+    __slots__ = ("chars", "klass", "links", "named", "once", "pages", "path", "same", "sure", "valid")
 
-    def __init__(self, path: str, pages: int, klass: tuple, valid: bool, once: bool, chars: int, links: int, same: bool, named: bool):
+    def __init__(self, path: str, pages: int, klass: tuple, valid: bool, once: bool, chars: int, links: int, same: bool, said: int):
         self.path, self.pages, self.klass, self.valid, self.once = path, pages, klass, valid, once
-        self.chars, self.links, self.same, self.named = chars, links, same, named
+        self.chars, self.links, self.same, self.named, self.sure = chars, links, same, said > 0, said == 3
 
     def weight(self) -> float:
         return (self.chars - self.links) * (SAME if self.same else 1.0)
@@ -307,6 +347,8 @@ def article_slot(slots: list[Slot]) -> str:
 def is_boilerplate(slot: Slot, article: Slot) -> bool:
     """Whether the template agrees with the name of a slot that it is boilerplate."""
     mean, whole = slot.chars / slot.pages, article.chars / article.pages
+    if slot.sure and 0 < mean <= SURE_TIMES * whole:
+        return True
     return slot.chars == 0 or slot.links >= LINKS * slot.chars or slot.same or mean <= max(SHORT_CHARS, SHORT * whole)
 
 
@@ -321,12 +363,12 @@ def verdicts(slots: list[Slot]) -> tuple[str, list[str], list[str]]:
 
 def slots_of(page: Page) -> list[Slot]:
     """The slots of a page that is alone."""
-    return [Slot(path, 1, (1,), opens == shuts, opens == 1, chars, links, False, said > 0) for path, (opens, shuts, chars, links, _, said) in page.statistics().items()]
+    return [Slot(path, 1, (1,), opens == shuts, opens == 1, chars, links, False, said) for path, (opens, shuts, chars, links, _, said) in page.statistics().items()]
 
 
 def _deduce(table: pa.Table) -> pa.Table:
     """The frequent paths of a host (at most those of 1 / SUPPORT mean pages) -> its template."""
-    slots = [Slot(r["path"], r["pages"], (r["low"], r["high"]), (r["low"], r["high"]) == (r["shut_low"], r["shut_high"]), r["most"] == 1, r["chars"], r["links"], r["pages"] > 1 and r["least_text"] == r["most_text"], r["said"] > 0) for r in table.to_pylist()]
+    slots = [Slot(r["path"], r["pages"], (r["low"], r["high"]), (r["low"], r["high"]) == (r["shut_low"], r["shut_high"]), r["most"] == 1, r["chars"], r["links"], r["pages"] > 1 and r["least_text"] == r["most_text"], r["said"]) for r in table.to_pylist()]
     path, drop, keep = verdicts(slots)
     lists = [pa.array([x], pa.list_(pa.string())) for x in (drop, keep)]
     return pa.table({"host": table.column("host").slice(0, 1), "article": pa.array([path], pa.string()), "drop": lists[0], "keep": lists[1]})
@@ -359,7 +401,7 @@ def extract_text(page: str | None, article: str | None = None, drop: frozenset =
         article = article_slot(list(alone.values()))
     out = [True] * len(elements)
     inside = [False] * len(elements)
-    for e, (path, parent, boiler, said, _) in enumerate(elements):
+    for e, (path, parent, boiler, said) in enumerate(x[:4] for x in elements):
         bad = boiler
         if said and not bad and path != article and not article.startswith(path + "/"):
             bad = path in drop or path not in keep and is_boilerplate(alone[path], alone[article])

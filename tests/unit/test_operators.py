@@ -148,6 +148,27 @@ def test_kmer_dedupe_random(spark):
     assert sorted(r.ord for r in N.kmer_dedupe(df, 6, 70.0).collect()) == kept
 
 
+def test_sketches_find_what_sets_find(spark):
+    """Recall against exact pairs, for long sequences by sketches and for short ones by whole sets."""
+    rng = random.Random(13)
+    seqs = []
+    for length in (3000, 3000, 2000, 60, 40):
+        base = "".join(rng.choice("ACGT") for _ in range(length))
+        for _ in range(12):
+            s = list(base[: rng.randint(length // 2, length)])
+            for _ in range(rng.randint(0, length // 60)):
+                s[rng.randrange(len(s))] = rng.choice("ACGT")
+            seqs.append("".join(s) if rng.random() < 0.6 else rc("".join(s)))
+    rng.shuffle(seqs)
+    df = spark.createDataFrame([*enumerate(seqs), (100, "ACG"), (101, None)], "ord long, seq string")
+    exact = {tuple(r) for r in N.containment_pairs(df, 11, least=70.0).collect()}
+    found = {tuple(r) for r in N.sketched_pairs(df, 11, 70.0).collect()}
+    assert found <= exact and len(found) >= 0.97 * len(exact) and len(exact) > 100
+    short = {i for i, s in enumerate(seqs) if len(s) < 100}
+    assert {x for x in exact if x[0] in short} <= found
+    assert N.sketched_pairs(df.limit(0), 11, 70.0).count() == 0
+
+
 def flip(n):
     return n.translate(str.maketrans("+-", "-+"))
 

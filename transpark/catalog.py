@@ -313,6 +313,14 @@ def kmer_containment_pairs(spark, sf):
 DEDUPE_SQL = f""", items AS (SELECT 0 AS one, doc_id FROM c WHERE doc_id = f OR length(seq) < {K}), conflicts AS (SELECT 0 AS one, later, earlier FROM p WHERE shared * 100.0 / size >= 80), {in_order("kd", "one", "doc_id", "BIGINT")} SELECT kept AS doc_id FROM kd"""
 
 
+@query("kmer_sketched_pairs", f"WITH {FIRST_SQL} SELECT later, earlier, shared, size::INT AS size, round(shared * 100.0 / size, 6) AS percent FROM p WHERE shared * 100.0 / size >= 70")
+def kmer_sketched_pairs(spark, sf):
+    """Candidates by sketches of a quarter of the k-mers."""
+    seqs = view(spark, sf, SEQS["spark"])
+    kept = seqs.join(N.exact_copies(seqs, "doc_id").where("doc_id = first").select("doc_id"), "doc_id", "left_semi")
+    return N.sketched_pairs(kept, K, 70.0, "doc_id", scale=4).withColumn("percent", F.round("percent", 6))
+
+
 @query("kmer_dedupe", f"WITH {FIRST_SQL}{DEDUPE_SQL}")
 def kmer_dedupe(spark, sf):
     return N.kmer_dedupe(view(spark, sf, SEQS["spark"]), K, 80.0, "doc_id").select("doc_id")
@@ -473,6 +481,18 @@ def rotation_duplicates(spark, sf):
     return G.rotation_pairs(seqs)
 
 
+@query("cycle_analysis")
+def cycle_analysis(spark, sf):
+    """From the nodes and edges of all graphs to named cycles, by a configuration."""
+    from transpark.plans.config import from_dict
+    from transpark.plans.pipelines import cycle_analysis as analysed
+
+    options = from_dict({"options": {"min_size": 20, "max_size": 100, "min_components": 1, "max_components": 25, "kmer": 7, "kmer_threshold": 80.0}}).options
+    nodes = materialise(_nodes(spark, sf).withColumn("len", F.length("seq")))
+    edges = materialise(_edges(spark, sf).select("graph_id", "src", "dst", "overlap"))
+    return analysed(nodes, edges, ["graph_id"], options)
+
+
 @query("rotation_classes", f"""WITH r AS ({duck(ROT)}), d AS (SELECT ord, seq, {RC.format(s='seq')} AS back FROM r WHERE length(seq) > 0),
 k AS (SELECT ord, (SELECT min(substr(t.s, i, t.n)) FROM (SELECT unnest([seq || seq, back || back]) AS s, length(seq) AS n) t, unnest(range(1, t.n + 1)) u(i)) AS key FROM d)
 SELECT ord, min(ord) OVER (PARTITION BY key) AS "first", count(*) OVER (PARTITION BY key) AS members FROM k""")

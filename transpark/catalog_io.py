@@ -125,7 +125,7 @@ def _sam_file(spark, sf):
     rows = view(spark, sf, SAM)
     cigar = F.concat(F.when(F.col("h") > 0, F.concat(F.col("h"), F.lit("H"))).otherwise(""), F.col("m"), F.lit("M5I"), F.col("m"), F.lit("M"))
     line = F.concat_ws("\t", "read", F.col("flag").cast("string"), "ref", F.col("pos").cast("string"), F.lit("60"), cigar, F.lit("*"), F.lit("0"), F.lit("0"), F.expr("repeat('A', 2 * m + 5)"), F.lit("*"), F.concat(F.lit("SA:Z:"), "ref", F.lit(",9,+,5M,60,0;")))
-    heads = spark.range(3).select(F.concat(F.lit("@SQ\tSN:ref"), F.col("id"), F.lit("\tLN:"), (F.col("id") * 200 + 100)).alias("value"))
+    heads = view(spark, sf, "SELECT DISTINCT o_orderkey % 3 AS id FROM {orders}").select(F.concat(F.lit("@SQ\tSN:ref"), F.col("id"), F.lit("\tLN:"), (F.col("id") * 200 + 100)).alias("value"))
     return written(heads.unionByName(rows.select(line.alias("value"))), "sam")
 
 
@@ -135,7 +135,7 @@ def io_sam(spark, sf):
     return IN.mapped(rows, True).select("read", "flag", "ref", "pos", "seq_len", "sa")
 
 
-@query("io_sam_references", "SELECT 'ref' || i AS ref, (i * 200 + 100)::INT AS length FROM range(3) r(i)")
+@query("io_sam_references", "SELECT DISTINCT 'ref' || (o_orderkey % 3) AS ref, (o_orderkey % 3 * 200 + 100)::INT AS length FROM orders")
 def io_sam_references(spark, sf):
     return IN.read_sam(spark, _sam_file(spark, sf))[1]
 
@@ -328,10 +328,13 @@ def io_element_headers(spark, sf):
     return IN.read_element_headers(spark, path)
 
 
-@query("config_options", "SELECT 7 AS path_limit, 5850.0::DOUBLE AS mean, 5 AS tolerance, 10::BIGINT AS patterns")
+@query("config_options", "SELECT l_returnflag, count(*) AS n, round(sum(abs(l_extendedprice::DECIMAL(18,2) - 5850.00::DECIMAL(18,2))))::BIGINT AS distance, 10::BIGINT AS patterns FROM lineitem WHERE l_linenumber <= 6 AND l_suppkey % 10 <= 5 GROUP BY l_returnflag")
 def config_options(spark, sf):
-    c = from_dict({"options": {"path_limit": 7, "other": 1}, "tolerances": {"tolerance": 5}})
-    return spark.range(1).select(F.lit(c.options.path_limit).alias("path_limit"), F.lit(c.options.mean).alias("mean"), F.lit(c.tolerances.tolerance).alias("tolerance"), F.lit(len(c.patterns)).cast("long").alias("patterns"))
+    """Rows within the limits of a configuration: named options are taken, others keep their defaults."""
+    c = from_dict({"options": {"path_limit": 6, "other": 1}, "tolerances": {"tolerance": 5}})
+    rows = table(spark, sf, "lineitem").where((F.col("l_linenumber") <= c.options.path_limit) & (F.col("l_suppkey") % 10 <= c.tolerances.tolerance))
+    far = F.sum(F.abs(F.col("l_extendedprice").cast("decimal(18,2)") - F.lit(c.options.mean).cast("decimal(18,2)")))
+    return rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(far).cast("long").alias("distance"), F.lit(len(c.patterns)).cast("long").alias("patterns"))
 
 
 # Functions, filters and joins --------------------------------------------------------------------

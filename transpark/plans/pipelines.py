@@ -72,9 +72,10 @@ def enrich(final: DataFrame, order: list[str], taxonomy: DataFrame | None = None
     return out.join(organisms.select("sample", "organism"), "sample", "left").withColumn("organism", F.coalesce("organism", F.lit("Unknown")))
 
 
-def cluster_novel(enriched: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, cluster, n_samples) of novel candidates, from links (src, dst) between their tags."""
-    novel = enriched.where(F.lower(F.trim("category")) == "novel").groupBy(F.col("ct_tag").alias("node")).agg(F.first("sample").alias("sample"))
+def cluster_novel(enriched: DataFrame, links: DataFrame, order: str = "sample") -> DataFrame:
+    """(node, cluster, n_samples) of novel candidates, from links (src, dst) between their tags. A tag in
+    several rows counts for the sample of the first by ``order``."""
+    novel = enriched.where(F.lower(F.trim("category")) == "novel").groupBy(F.col("ct_tag").alias("node")).agg(F.min_by("sample", order).alias("sample"))
     tags = cluster_tags(connected_components(links, novel.select("node"))).join(novel, "node")
     samples = tags.groupBy("cluster").agg(F.countDistinct("sample").alias("n_samples"))
     return tags.join(samples, "cluster").select("node", "cluster", "n_samples")

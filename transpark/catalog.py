@@ -591,6 +591,28 @@ def keyword_counts(spark, sf):
     return E.keyword_counts(table(spark, sf, "documents"), "text", list(ENZYMATIC + XENO + EXCLUDED))
 
 
+WORDS_SQL = "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS keyword FROM benchmark"
+
+
+def _keyword_table(spark, sf):
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("keyword")
+    return table(spark, sf, "benchmark").select(words).distinct()
+
+
+@query("keyword_table_counts", f"WITH k AS ({WORDS_SQL}) SELECT keyword, count(*) AS n FROM k JOIN documents ON contains(lower(text), keyword) GROUP BY keyword")
+def keyword_table_counts(spark, sf):
+    """Thousands of keywords in one pass."""
+    found = E.keyword_matches(table(spark, sf, "documents"), _keyword_table(spark, sf), "text", ["doc_id"])
+    return found.groupBy("keyword").agg(F.count("*").alias("n"))
+
+
+@query("keyword_table_classes", f"WITH k AS (SELECT keyword, 'of' || (length(keyword) % 4) AS class, length(keyword) AS rank FROM ({WORDS_SQL}) WHERE length(keyword) > 9), m AS (SELECT doc_id, arg_min(class, (rank, class)) AS class FROM documents JOIN k ON contains(lower(text), keyword) GROUP BY doc_id) SELECT doc_id, coalesce(class, 'other') AS class FROM documents LEFT JOIN m USING (doc_id)")
+def keyword_table_classes(spark, sf):
+    words = _keyword_table(spark, sf).where(F.length("keyword") > 9)
+    words = words.select("keyword", F.concat(F.lit("of"), F.length("keyword") % 4).alias("class"), F.length("keyword").alias("rank"))
+    return E.keyword_table_classes(table(spark, sf, "documents"), words, "text", ["doc_id"])
+
+
 @query("candidate_tags", "SELECT o_orderkey, 'CT' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') AS ct_tag FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS n FROM orders)")
 def candidate_tags(spark, sf):
     return E.tag_candidates(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"]).select("o_orderkey", "ct_tag")

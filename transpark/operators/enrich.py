@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from transpark.plans.ordering import number_rows
+from transpark.plans.storage import materialise, ship_by_value
 
 # Names known by themselves: (name, group, family).
 FAMILIES = [
@@ -230,3 +235,59 @@ def keyword_counts(df: DataFrame, text: str, keywords: list[str]) -> DataFrame:
     """(keyword, n): rows whose lower-cased text has the keyword; a row counts for each it has."""
     found = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.lower(F.col(text)).contains(k))
     return df.select(F.explode(found).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
+
+
+#: Bytes of keywords that one automaton may be built of.
+AUTOMATON_BYTES = 16_000_000
+
+
+def keyword_matches(df: DataFrame, keywords: DataFrame, text: str, keep: list[str], keyword: str = "keyword", most: int = AUTOMATON_BYTES) -> DataFrame:
+    """(keep, keyword): a row for each keyword of a table that a row's lower-cased text contains.
+
+    Keywords are lower-cased and distinct; null and empty ones match nothing, and a null text has none.
+    All are looked for in one pass over a text, by an automaton that each task builds of the keywords it
+    was sent. A table of more than ``most`` bytes is dealt to several automata by hash, with a pass each.
+    """
+    table = materialise(keywords.select(F.lower(keyword).alias("w")).where(F.length("w") > 0).distinct())
+    total = table.agg(F.sum(F.octet_length("w"))).first()[0] or 0
+    blocks = -(-total // most)
+    rows = df.select(*keep, F.lower(F.col(text)).alias("text_"))
+    out = None
+    for block in range(blocks):
+        sent = df.sparkSession.sparkContext.broadcast([r.w for r in table.where(F.pmod(F.xxhash64("w"), F.lit(blocks)) == block).collect()])
+        each = rows.mapInArrow(_matcher(sent, keep), StructType([*[df.schema[c] for c in keep], StructField("keyword", StringType())]))
+        out = each if out is None else out.unionByName(each)
+    return out if out is not None else rows.select(*keep, F.lit("").alias("keyword")).limit(0)
+
+
+def _matcher(sent, keep: list[str]):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        words = sent.value
+        automaton = ahocorasick.Automaton()
+        for i, w in enumerate(words):
+            automaton.add_word(w, i)
+        automaton.make_automaton()
+        for batch in batches:
+            at, found = [], []
+            for n, text in enumerate(batch.column(len(keep))):
+                if text.is_valid:
+                    hits = {i for _, i in automaton.iter(text.as_py())}
+                    at += [n] * len(hits)
+                    found += hits
+            places = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in range(len(keep))), pa.array([words[i] for i in found], pa.string())], names=[*keep, "keyword"])
+
+    return kernel
+
+
+def keyword_table_classes(df: DataFrame, keywords: DataFrame, text: str, keep: list[str], other: str = "other") -> DataFrame:
+    """(keep, class): of the classes (keyword, class, rank) whose keywords a row's text contains, that of
+    the least rank, otherwise ``other``. ``keep`` tells rows apart."""
+    ranked = keywords.select(F.lower("keyword").alias("keyword"), "class", "rank")
+    best = keyword_matches(df, keywords, text, keep).join(ranked, "keyword").groupBy(*keep).agg(F.min_by("class", F.struct("rank", "class")).alias("class"))
+    return df.select(*keep).join(best, keep, "left").withColumn("class", F.coalesce("class", F.lit(other)))
+
+
+ship_by_value(__name__)

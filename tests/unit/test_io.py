@@ -72,6 +72,24 @@ def test_tables(spark, tmp_path):
     assert R.read_table(spark, tax).columns == ["name", "group", "family"]
 
 
+def test_packed_text(spark, tmp_path):
+    """gzip and zstd (of several frames) beside plain text: the same rows, links in order within files."""
+    import zstandard
+
+    text = "H\tVN:Z:1.0\nS\ta\tACGT\nS\tb\tGGG\r\nL\ta\t+\tb\t-\t2M\nL\tb\t+\ta\t-\t1M\n"
+    pack = zstandard.ZstdCompressor().compress
+    for name, data in (("x.gfa", text.encode()), ("y.gfa.gz", gzip.compress(text.encode())), ("z.gfa.zst", pack(text[:30].encode()) + pack(text[30:].encode())), ("notzst", text.encode())):
+        (tmp_path / name).write_bytes(data)
+    nodes, edges = R.read_gfa(spark, str(tmp_path))
+    by = lambda rows, *c: {f: sorted(tuple(r[x] for x in c) for r in rows if r["graph"].endswith(f)) for f in ("x.gfa", "y.gfa.gz", "z.gfa.zst", "notzst")}
+    for found in (by(nodes.collect(), "node", "seq", "len"), by(edges.collect(), "src", "dst", "overlap", "turn")):
+        assert found["x.gfa"] and all(x == found["x.gfa"] for x in found.values())
+    alone = R.read_gfa(spark, str(tmp_path / "z.gfa.zst"))[0]
+    assert alone.count() == 4
+    order = [r.value for r in R.lines(spark, str(tmp_path / "z.gfa.zst")).orderBy("nth").collect()]
+    assert order == text.replace("\r", "").splitlines()
+
+
 def test_binary_alignments(spark, tmp_path):
     """The binary form of alignments gives what their text does."""
     refs = [("ref0", 500), ("ref1", 90)]

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import itertools
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from transpark.functions.sequences import reverse_complement
 from transpark.operators.graph import double_strands
+from transpark.plans.storage import ship_by_value
 
 _INTS = ("length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send")
 #: Columns of tabular hits.
@@ -20,9 +26,32 @@ HITS = StructType(
 FINAL = ("SampleID", "Kmer", "CycleID", "score0", "score1", "score2", "length", "components", "NumAnt", "AntNames", "AntCoords", "NumIS", "ISNames", "IScoords", "NumXeno", "XenoNames", "XenoCoords", "CompTN")
 
 
+#: Names that don't end in .zst.
+NOT_ZST = "{*[^t],*[^s]t,*[^z]st,*[^.]zst}"
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (path, content) of zstd frames -> their lines, decompressed as they are read."""
+    import zstandard
+
+    for batch in batches:
+        for path, content in zip(batch.column(0), batch.column(1), strict=True):
+            stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
+            numbered = enumerate(io.TextIOWrapper(stream, "utf-8", newline="\n"))
+            while rows := [(n, x.removesuffix("\n").removesuffix("\r")) for n, x in itertools.islice(numbered, 10_000)]:
+                nth = pa.array([{"block": 0, "id": n} for n, _ in rows], pa.struct([("block", pa.int64()), ("id", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([pa.array([x for _, x in rows], pa.string()), pa.array([path.as_py()] * len(rows), pa.string()), nth], names=["value", "file", "nth"])
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, file, nth): the lines of text files (zstd and gzip too) in file order."""
-    return spark.read.text(path, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("nth"))
+    """(value, file, nth): the lines of text files in file order. Codecs that Spark's text reader knows by
+    a file's name are its work; zstd, for which that needs a native library, is read a file a task."""
+    read = spark.read.option("recursiveFileLookup", "true")
+    text = read.option("pathGlobFilter", NOT_ZST).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("nth"))
+    packed = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zst").format("binaryFile").load(path)
+    if not packed.inputFiles():
+        return text
+    return text.unionByName(packed.select("path", "content").mapInArrow(_unpacked, "value string, file string, nth struct<block:bigint,id:bigint>"))
 
 
 def read_gfa(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -202,3 +231,6 @@ def discover(spark: SparkSession, path: str, pattern: str, least_size: int = 0)
     """(path, size) of files below a folder that match a glob and have ``least_size`` bytes."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", F.col("length").alias("size"))
     return found.where(F.col("size") >= least_size)
+
+
+ship_by_value(__name__)

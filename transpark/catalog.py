@@ -313,6 +313,15 @@ def kmer_containment_pairs(spark, sf):
 DEDUPE_SQL = f""", items AS (SELECT 0 AS one, doc_id FROM c WHERE doc_id = f OR length(seq) < {K}), conflicts AS (SELECT 0 AS one, later, earlier FROM p WHERE shared * 100.0 / size >= 80), {in_order("kd", "one", "doc_id", "BIGINT")} SELECT kept AS doc_id FROM kd"""
 
 
+@query("sequence_alignments")
+def sequence_alignments(spark, sf):
+    """Identity and spans of sequences that share most of their k-mers, aligned here."""
+    from transpark.operators.pairwise import align_all
+
+    hits = align_all(view(spark, sf, SEQS["spark"]), K, 60.0, "doc_id")
+    return hits.select("qseqid", "sseqid", F.round("pident", 6).alias("pident"), "length", "mismatch", "gaps", "qstart", "qend", "sstart", "send", "score")
+
+
 @query("kmer_sketched_pairs", f"WITH {FIRST_SQL} SELECT later, earlier, shared, size::INT AS size, round(shared * 100.0 / size, 6) AS percent FROM p WHERE shared * 100.0 / size >= 70")
 def kmer_sketched_pairs(spark, sf):
     """Candidates by sketches of a quarter of the k-mers."""
@@ -487,7 +496,7 @@ def cycle_analysis(spark, sf):
     from transpark.plans.config import from_dict
     from transpark.plans.pipelines import cycle_analysis as analysed
 
-    options = from_dict({"options": {"min_size": 20, "max_size": 100, "min_components": 1, "max_components": 25, "kmer": 7, "kmer_threshold": 80.0}}).options
+    options = from_dict({"options": {"min_size": 20, "max_size": 100, "min_components": 1, "max_components": 25, "kmer": 25, "kmer_threshold": 95.0}}).options
     nodes = materialise(_nodes(spark, sf).withColumn("len", F.length("seq")))
     edges = materialise(_edges(spark, sf).select("graph_id", "src", "dst", "overlap"))
     return analysed(nodes, edges, ["graph_id"], options)

@@ -13,6 +13,7 @@ from transpark.operators import hits as H
 from transpark.operators.components import cluster_tags, connected_components
 from transpark.operators.enrich import element_family, expand_classes, tag_candidates
 from transpark.operators.intervals import without_overlap
+from transpark.operators.pairwise import align_all
 from transpark.operators.similarity import containment_pairs, kmer_dedupe
 from transpark.plans.config import Options
 from transpark.plans.ordering import number_rows
@@ -26,10 +27,10 @@ def cycle_analysis(nodes: DataFrame, edges: DataFrame, keys: list[str], options:
     and near-copies by k-mers go last. nodes: (keys, node, seq, len).
     """
     cycles = G.simple_cycles(edges, keys, options.path_limit).withColumn("text", F.array_join("path", ","))
-    cycles = cycles.withColumn("path_id", F.concat_ws(" ", F.lit("0"), *keys, "text"))
+    cycles = materialise(cycles.withColumn("path_id", F.concat_ws(" ", F.lit("0"), *keys, "text")))
     kept = G.dedupe_paths(cycles, nodes, keys).withColumn("hairpin", F.lit(False))
     back = G.hairpin_paths(edges, keys, options.path_limit).withColumn("text", F.array_join("path", ",")).withColumn("path_id", F.concat_ws(" ", F.lit("1"), *keys, "text")).withColumn("hairpin", F.lit(True))
-    paths = kept.unionByName(back)
+    paths = materialise(kept.unionByName(back))
     built = G.path_sequences(paths, nodes, edges, keys).join(paths.select(*keys, "path_id", "hairpin"), [*keys, "path_id"])
     sized = G.in_size(built, options.min_size, options.max_size, options.min_components, options.max_components)
     distinct = materialise(G.distinct_cycles(sized, keys, "path_id"))
@@ -140,3 +141,11 @@ def in_category_order(frames: dict[str, DataFrame], order: list[str]) -> DataFra
 def kmer_links(seqs: DataFrame, k: int, percent: float, order: str = "ord", seq: str = "seq") -> DataFrame:
     """(src, dst) of sequences that share enough k-mers, for clusters without an alignment table."""
     return containment_pairs(seqs, k, order, seq, least=percent).select(F.col("later").alias("src"), F.col("earlier").alias("dst"))
+
+
+def sequence_links(seqs: DataFrame, identity: float = 90.0, coverage: float = 80.0, evalue: float = 1e-10, k: int = 11, order: str = "ord", seq: str = "seq") -> DataFrame:
+    """(src, dst) of sequences that are close enough by alignments made here; they are what clusters need
+    where no table of hits is given. Candidates share a twentieth of the k-mers that the identity and
+    coverage leave on average."""
+    shared = 100.0 * (identity / 100.0) ** k * coverage / 100.0 / 20.0
+    return similar_links(align_all(seqs, k, shared, order, seq), identity, coverage, evalue)

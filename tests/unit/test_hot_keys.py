@@ -68,3 +68,21 @@ def test_one_reference_is_swept_by_many_tasks(spark):
     want = plain_islands([(i * 3 + 1, i * 3 + 2 + i % 5) for i in range(50_000)], 0)
     merged = A.merged_alignments(spans, ["ref"])
     assert sorted((r.q_start, r.q_end) for r in merged.collect()) == want
+
+
+def test_coverage_at_any_zoom(spark):
+    """Means and maxima of all levels, base by base."""
+    rng = random.Random(6)
+    spans = [("r", s, s + rng.randint(1, 90)) for s in (rng.randint(0, 2500) for _ in range(300))]
+    runs = I.depth_runs(spark.createDataFrame(spans, "k string, start int, end int"), ["k"])
+    depth = [0] * 4096
+    for _, s, e in spans:
+        for p in range(s, e):
+            depth[p] += 1
+    want = {}
+    for level in range(3, 9):
+        for b in range(4096 >> level):
+            own = depth[b << level : (b + 1) << level]
+            if any(own):
+                want[level, b] = (sum(own) / len(own), max(own))
+    assert {(r.level, r.bin): (r["mean"], r.top) for r in A.coverage_tree(runs, ["k"], 3, 6).collect()} == want

@@ -234,13 +234,26 @@ def covered_length(spark, sf):
     return I.covered_length(view(spark, sf, FEATURES), ["user_id", "r_type"])
 
 
-@query("interval_coverage", f"""WITH f AS ({duck(FEATURES)}), e AS (SELECT user_id, start AS p, 1 AS d FROM f WHERE start < "end" UNION ALL SELECT user_id, "end", -1 FROM f WHERE start < "end"),
+COVERAGE_SQL = f"""WITH f AS ({duck(FEATURES)}), e AS (SELECT user_id, start AS p, 1 AS d FROM f WHERE start < "end" UNION ALL SELECT user_id, "end", -1 FROM f WHERE start < "end"),
 s AS (SELECT user_id, p, sum(d) AS d FROM e GROUP BY ALL), r AS (SELECT user_id, p AS start, lead(p) OVER w AS "end", sum(d) OVER w AS depth FROM s WINDOW w AS (PARTITION BY user_id ORDER BY p))
-SELECT user_id, start, "end", depth::BIGINT AS depth FROM r WHERE depth > 0""")
+SELECT user_id, start, "end", depth::BIGINT AS depth FROM r WHERE depth > 0"""
+
+
+@query("interval_coverage", COVERAGE_SQL)
 def interval_coverage(spark, sf):
     return I.depth_runs(view(spark, sf, FEATURES), ["user_id"])
 
 
+@query("coverage_tree", f"""WITH c AS ({COVERAGE_SQL}), z AS (SELECT unnest(range(4, 7)) AS level), p AS (SELECT user_id, start, "end", depth, level, unnest(range(start >> level, (("end" - 1) >> level) + 1)) AS bin FROM c, z)
+SELECT user_id, level::INT AS level, bin::BIGINT AS bin, round(sum(depth * (least("end", (bin + 1) << level) - greatest(start, bin << level))) / pow(2, level), 6) AS mean, max(depth)::BIGINT AS top FROM p GROUP BY user_id, level, bin""")
+def coverage_tree(spark, sf):
+    """Three levels, from bins of 16 bases on."""
+    from transpark.operators.alignments import coverage_tree as tree
+
+    runs = I.depth_runs(view(spark, sf, FEATURES), ["user_id"])
+    return tree(runs, ["user_id"], 4, 3).withColumn("mean", F.round("mean", 6))
+
+
 @query("overlap_anti_join", f"""WITH f AS ({duck(FEATURES)}) SELECT event_id, user_id, start, "end" FROM f x WHERE r_type = 'Xenobiotics' AND NOT EXISTS (SELECT 1 FROM f i WHERE i.r_type = 'InsertionSequences' AND i.user_id = x.user_id AND NOT (x."end" < i.start OR x.start > i."end"))""")
 def overlap_anti_join(spark, sf):
     f = view(spark, sf, FEATURES)

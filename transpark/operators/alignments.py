@@ -94,3 +94,20 @@ def coverage(spans: DataFrame, references: DataFrame, circular: DataFrame) -> Da
     marked = cut.join(circular.select("read").distinct().withColumn("is_circular", F.lit(True)), "read", "left")
     each = marked.withColumn("circular", F.explode(F.when(F.col("is_circular"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     return depth_runs(each.select("ref", "circular", "start", "end"), ["ref", "circular"])
+
+
+def coverage_tree(runs: DataFrame, keys: list[str], base: int = 8, levels: int = 12) -> DataFrame:
+    """(keys, level, bin, mean, top): mean and largest depth of bins of 2^level bases, for ``levels`` sizes
+    from 2^base on, so that any zoom of a plot is read from one table. runs: (keys, start, end, depth) as
+    ``coverage`` gives them; bins without a covered base are left out, and count as depth 0 in means.
+
+    The smallest bins are added up from the runs, each larger size from these: a bin's bases and its
+    largest depth are sums and maxima of its parts'.
+    """
+    size = 1 << base
+    parts = runs.select(*keys, "start", "end", "depth", F.explode(F.sequence(F.shiftright(F.col("start").cast("long"), base), F.shiftright(F.col("end").cast("long") - 1, base))).alias("bin"))
+    shared = F.least(F.col("end"), (F.col("bin") + 1) * size) - F.greatest(F.col("start"), F.col("bin") * size)
+    bottom = parts.groupBy(*keys, "bin").agg(F.sum(F.col("depth") * shared).alias("bases"), F.max("depth").alias("top"))
+    above = bottom.select(*keys, "bases", "top", "bin", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("up"))
+    tree = above.groupBy(*keys, (F.col("up") + base).alias("level"), F.expr("shiftright(bin, up)").alias("bin")).agg(F.sum("bases").alias("bases"), F.max("top").alias("top"))
+    return tree.select(*keys, "level", "bin", (F.col("bases") / F.pow(F.lit(2.0), F.col("level"))).alias("mean"), "top")

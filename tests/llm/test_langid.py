@@ -79,3 +79,52 @@ def test_nearest_centroid_brute_force(spark):
         near = [(sum(x * w.get(b, 0) for b, x in mine.items()), lang) for (lang, _), w in ((k, weights(v)) for k, v in vectors.items())]
         best = max(s for s, _ in near)
         assert abs(score - best) < 1e-5 and lang == min(x for s, x in near if s > best - 1e-6), t
+
+
+def test_the_fit_is_plain_spherical_k_means(spark):
+    """Centroids, limits and rejections of languages with more texts than centroids, step by step."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    stems = {"a": ["the", "dog", "house", "sea", "over", "hill"], "b": ["der", "hund", "haus", "über", "katze", "see"]}
+    known = {lang: list({" ".join(rng.choice(w) + rng.choice(["", "s", "en", "xq"]) for _ in range(rng.randint(2, 9))) for _ in range(30)}) for lang, w in stems.items()}
+    docs = spark.createDataFrame([(t, lang) for lang, ts in known.items() for t in ts], "text string, lang string").repartition(3)
+    model = langid.fit(docs)
+    hashes = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) h").collect()}
+    every = [bins_of(t) for ts in known.values() for t in ts]
+    df = Counter(b for v in every for b in v)
+    idf = np.full(langid.BINS, math.log(1 + len(every)))
+    for b, n in df.items():
+        idf[b] = math.log((1 + len(every)) / (1 + n)) + 0.1
+    assert np.allclose(model.idf, idf)
+
+    def unit(x):
+        return x / math.sqrt(sum(y * y for y in x))
+
+    def vector(text):
+        x = np.zeros(langid.BINS)
+        for b, n in bins_of(text).items():
+            x[b] = (1 + math.log(n)) * idf[b]
+        return unit(x)
+
+    at = 0
+    for lang in sorted(known):
+        rows = [vector(t) for t in sorted(known[lang], key=hashes.get)]
+        centres = [unit(sum(rows) / len(rows))]
+        while len(centres) < langid.CENTROIDS:  # the row that is farthest from all so far
+            centres.append(min(rows, key=lambda r: round(max(float(r @ c) for c in centres), 6)))  # noqa: B023
+        for _ in range(langid.ROUNDS):
+            near = [max(range(len(centres)), key=lambda k: round(float(r @ centres[k]), 6)) for r in rows]  # noqa: B023
+            centres = [unit(sum(m) / len(m)) if (m := [r for r, x in zip(rows, near, strict=True) if x == k]) else c for k, c in enumerate(centres)]
+        told = model.centres[at : at + len(centres)]
+        assert model.languages[at : at + len(centres)] == [lang] * len(centres)
+        assert np.allclose(told, np.array(centres), atol=1e-4)
+        close = sorted(max(float(r @ c) for c in centres) for r in rows)
+        assert abs(model.limits[at] - np.quantile(close, langid.OUTSIDE)) < 1e-4
+        at += len(centres)
+    asked = spark.createDataFrame([(1, "the dog"), (2, "日本語のテキスト"), (3, "zzz qqq jjj"), (4, "der hund")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in langid.identify(asked, model).collect()}
+    assert got[1] == ("a", False) and got[4] == ("b", False) and got[2][1] and got[3][1]
+    assert got[2][0] in known and got[3][0] in known
